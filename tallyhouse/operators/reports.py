@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +45,17 @@ def daily_transaction_summary(processed: DataFrame) -> DataFrame:
     )
 
 
-def merchant_performance_overview(summary: DataFrame, risk: DataFrame) -> DataFrame:
-    """Every merchant-day of the summary with its risk, if there is one."""
+def merchant_performance_overview(
+    summary: DataFrame, risk: DataFrame, keys: Sequence[str] = MERCHANT_DAY
+) -> DataFrame:
+    """Every merchant-day of the summary with its risk, if there is one.
+
+    Name more ``keys`` if the frames hold several rows per merchant-day, as stored
+    tables do when a late record is processed on another date.
+    """
+    keys = list(keys)
     return (
-        summary.join(risk.select(*MERCHANT_DAY, "risk_level", "risk_score"), MERCHANT_DAY, "left")
+        summary.join(risk.select(*keys, "risk_level", "risk_score"), keys, "left")
         .select(
             *MERCHANT_DAY,
             "total_transactions",
