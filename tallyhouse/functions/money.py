@@ -27,6 +27,10 @@ def from_cents(cents: Column, as_type: str = MONEY) -> Column:
     return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(as_type)
 
 
+def from_ten_thousandths(parts: Column) -> Column:
+    return (parts.cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast("decimal(5,4)")
+
+
 def int_div(numerator: Column, denominator: Column) -> Column:
     return F.call_function("div", numerator, denominator)
 

@@ -117,30 +117,39 @@ def summary_from_day(day: DataFrame) -> DataFrame:
     )
 
 
-def _scored(frame: DataFrame, policy: RiskPolicy) -> DataFrame:
-    """Ratio, score and level over exact counts and cents."""
-    biggest, total = F.col("max_cents"), F.col("cents")
-    # Double division of whole cents is correctly rounded, so exactly 0.8 is not above 0.8.
-    ratio = F.try_divide(biggest.cast("double"), total.cast("double"))
-    shown = money.half_up_ratio(biggest.cast("decimal(19,0)") * 10000, total)
-    score = scoring.risk_score(
+def _score(policy: RiskPolicy) -> Column:
+    """Score over exact counts and cents.
+
+    Double division of whole cents is correctly rounded, so exactly 0.8 is not above 0.8.
+    """
+    ratio = F.try_divide(F.col("max_cents").cast("double"), F.col("cents").cast("double"))
+    return scoring.risk_score(
         F.col("very_high_value"), F.col("high_value"), F.col("transactions"), ratio, policy
     )
+
+
+def _scored(frame: DataFrame, policy: RiskPolicy) -> DataFrame:
+    biggest = F.col("max_cents")
+    shown = money.half_up_ratio(biggest.cast("decimal(19,0)") * 10000, F.col("cents"))
     return frame.select(
         *MERCHANT_DAY,
         F.col("high_value").alias("high_value_transactions"),
         F.col("very_high_value").alias("very_high_value_transactions"),
         F.col("transactions").alias("transaction_velocity"),
         money.from_cents(biggest).alias("max_single_transaction"),
-        (shown.cast("decimal(20,0)") * F.lit("0.0001").cast("decimal(4,4)"))
-        .cast("decimal(5,4)")
-        .alias("max_transaction_ratio"),
+        money.from_ten_thousandths(shown).alias("max_transaction_ratio"),
         "unique_locations",
         "unique_customers",
-        score.alias("risk_score"),
+        _score(policy).alias("risk_score"),
     ).withColumn("risk_level", scoring.risk_level(F.col("risk_score"), policy))
 
 
+def risk_grades(day: DataFrame, policy: RiskPolicy = DEFAULT_RISK) -> DataFrame:
+    """Score and level alone, which need no customer count."""
+    scored = day.select(*MERCHANT_DAY, _score(policy).alias("risk_score"))
+    return scored.withColumn("risk_level", scoring.risk_level(F.col("risk_score"), policy))
+
+
 def risk_from_day(day: DataFrame, reach: DataFrame, policy: RiskPolicy = DEFAULT_RISK) -> DataFrame:
     """Risk metrics from the two shared merchant-day frames; both are keyed alike."""
     keyed = day.withColumn("unique_locations", F.size("locations").cast("bigint"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,11 +16,17 @@ FORMATS = ("parquet", "json")
 DAY = "date"
 
 
-def _writer(df: DataFrame, mode: str, rebalance: bool):
+def _writer(df: DataFrame, mode: str, rebalance: bool) -> DataFrameWriter:
     """``rebalance`` evens out file sizes at the price of one shuffle."""
     return (df.hint("rebalance") if rebalance else df).write.mode(mode)
 
 
+def _partitioned(writer: DataFrameWriter, columns: Sequence[str] | None) -> DataFrameWriter:
+    if not columns:
+        return writer
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -29,16 +35,19 @@ def write_parquet(
     rebalance: bool = False,
 ) -> None:
     """With ``partition_cols``, an overwrite replaces only the partitions present in ``df``."""
-    writer = _writer(df, mode, rebalance)
-    if partition_cols:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-    writer.parquet(path)
+    _partitioned(_writer(df, mode, rebalance), partition_cols).parquet(path)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
+def write_json(
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str] | None = None,
+    mode: str = "overwrite",
+    rebalance: bool = False,
+) -> None:
     """JSON Lines; times as UTC, in the same format the reader expects."""
-    writer = _writer(df, mode, rebalance).option("timestampFormat", TIMESTAMP_FORMAT)
-    writer.option("timeZone", "UTC").json(path)
+    writer = _partitioned(_writer(df, mode, rebalance), partition_cols)
+    writer.option("timestampFormat", TIMESTAMP_FORMAT).option("timeZone", "UTC").json(path)
 
 
 def _check_format(fmt: str) -> None:
@@ -53,7 +62,7 @@ def replace_days(df: DataFrame, table_path: str, fmt: str = "parquet") -> None:
     the old partitions.
     """
     _check_format(fmt)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY)
+    writer = _partitioned(df.write.mode("overwrite"), [DAY])
     if fmt == "json":
         writer = writer.option("timestampFormat", TIMESTAMP_FORMAT).option("timeZone", "UTC")
     writer.format(fmt).save(table_path)
