@@ -36,12 +36,12 @@ def dedup_transactions(
     keys = list(keys)
     if order_by is None:
         order_by = ["timestamp"] if "timestamp" in df.columns and "timestamp" not in keys else []
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    rest = [F.col(c) for c in df.columns if c not in keys and c not in order_by]
 
     ordering = []
     for i, name in enumerate(order_by):
         ordering += [F.col(name).isNull().alias(f"_null_{i}"), F.col(name)]
-    first = F.min(F.struct(*ordering, *rest, F.lit(0).alias("_end"))).alias(_FIRST)
+    first = F.min(F.struct(*(ordering + rest or [F.lit(0)]))).alias(_FIRST)
     measures = [first, F.count(F.lit(1)).alias(copies_col)] if copies_col else [first]
 
     if collapse_null_keys:

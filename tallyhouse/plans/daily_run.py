@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import contracts
-from tallyhouse.functions import privacy
 from tallyhouse.functions.money import MONEY
 from tallyhouse.functions.rules import Rule
 from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
-from tallyhouse.operators import metrics
+from tallyhouse.operators import masking, metrics
 from tallyhouse.operators.validation import flag_transactions
 from tallyhouse.schema import IS_CORRUPT
 from tallyhouse.sinks import files, outputs
@@ -33,7 +32,6 @@ from tallyhouse.sources import transactions
 log = logging.getLogger(__name__)
 
 COPIES = "copies"
-CUSTOMER = "customer_id_hash"
 
 
 @dataclass(frozen=True)
@@ -46,26 +44,19 @@ class RunResult:
     summaries_generated: int
 
 
-def mask_flagged(flagged: DataFrame, salt: str | None = None, separator: str = "") -> DataFrame:
-    """Mask a flagged frame that still holds valid and invalid rows.
+def hide_cards(flagged: DataFrame) -> DataFrame:
+    """Replace the card number by its mask while valid and invalid rows are still together.
 
-    Valid rows lose the customer id and gain the hashes; invalid rows keep the id, which
-    the audit table stores, and no row keeps the card number. The hash covers the amount
-    as it is stored, in whole cents.
+    The hashes wait until the processed table is written: they are long and do not
+    compress, and no summary needs them.
     """
-    valid = F.col("is_valid")
-    amount = F.col("amount").try_cast(MONEY)
-    audit = privacy.audit_hash(
-        F.col("transaction_id"), F.col("merchant_id"), amount, F.col("timestamp"), separator
-    )
-    return flagged.withColumns(
-        {
-            "card_number_masked": privacy.card_mask(F.col("card_number")),
-            CUSTOMER: F.when(valid, privacy.customer_hash(F.col("customer_id"), salt)),
-            "transaction_hash": F.when(valid, audit),
-            "customer_id": F.when(~valid, F.col("customer_id")),
-        }
-    ).drop("card_number", IS_CORRUPT)
+    return masking.mask_card_number(flagged).drop("card_number", IS_CORRUPT)
+
+
+def processed_rows(valid: DataFrame, salt: str | None = None, separator: str = "") -> DataFrame:
+    """Valid rows as stored. The transaction hash covers the amount in whole cents."""
+    hashed = masking.transaction_hash(masking.hash_customer_id(valid, salt), separator)
+    return hashed.drop("customer_id")
 
 
 def run_counts(staged: DataFrame) -> dict[str, int]:
@@ -101,7 +92,7 @@ def process_transactions(
     status, scratch = "FAILED", []
     try:
         flagged = flag_transactions(raw, rules, order_by, copies_col=COPIES)
-        staged, path = files.stage(mask_flagged(flagged, salt, separator), "flagged", ["is_valid"])
+        staged, path = files.stage(hide_cards(flagged), "flagged", ["is_valid"])
         scratch.append(path)
 
         counts = run_counts(staged)
@@ -115,15 +106,17 @@ def process_transactions(
         created = F.lit(run.start_time)
         valid = staged.filter("is_valid").withColumns({"amount": F.col("amount").cast(MONEY), "created_at": created})
         invalid = staged.filter(~F.col("is_valid")).withColumn("created_at", created)
-        rollup, path = files.stage(metrics.activity_rollup(valid, CUSTOMER, policy), "rollup")
+        rollup, path = files.stage(metrics.activity_rollup(valid, policy=policy), "rollup")
         scratch.append(path)
 
         nothing = counts["valid"] == 0
         summaries = outputs.write_summaries(
-            metrics.comprehensive_summary(valid, rollup, CUSTOMER, policy), target, day, empty=nothing
+            metrics.comprehensive_summary(valid, rollup, policy=policy), target, day, empty=nothing
         )
         tables = {contracts.SUMMARY_CONTRACTS[name]: frame for name, frame in summaries.items()}
-        tables[contracts.PROCESSED] = outputs.write_processed(valid, target, day, empty=nothing)
+        tables[contracts.PROCESSED] = outputs.write_processed(
+            processed_rows(valid, salt, separator), target, day, empty=nothing
+        )
         tables[contracts.INVALID] = outputs.write_invalid(invalid, target, day, empty=counts["invalid"] == 0)
         quality = metrics.data_quality_summary(staged, copies_col=COPIES)
         seconds = run.ended("SUCCESS").duration_seconds

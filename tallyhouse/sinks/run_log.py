@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse import contracts
 from tallyhouse.sinks import files
@@ -41,15 +42,13 @@ class Run:
 def record_run(spark: SparkSession, target: OutputTarget, run: Run) -> None:
     """Write the run's single row over the state it had before."""
     contract = contracts.RUN_LOG
-    row = [
-        (
-            run.run_id, run.processing_date, run.pipeline_mode, run.start_time, run.end_time, run.status,
-            run.records_processed, run.records_valid, run.records_invalid, run.error_message,
-            run.duration_seconds, run.start_time,
-        )
-    ]
-    frame = contract.enforce(spark.createDataFrame(row, contract.schema))
-    frame.coalesce(1).write.mode("overwrite").parquet(f"{target.path(contract)}/run={run.run_id}")
+    state = {
+        **asdict(run),
+        "processing_duration_seconds": run.duration_seconds,
+        "created_at": run.start_time,
+    }
+    row = spark.range(1, numPartitions=1).select(*[F.lit(value).alias(name) for name, value in state.items()])
+    contract.enforce(row).write.mode("overwrite").parquet(f"{target.path(contract)}/run={run.run_id}")
 
 
 def read_run_log(spark: SparkSession, target: OutputTarget) -> DataFrame:
