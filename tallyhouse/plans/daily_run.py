@@ -109,15 +109,14 @@ def process_transactions(
         rollup, path = files.stage(metrics.activity_rollup(valid, policy=policy), "rollup")
         scratch.append(path)
 
-        nothing = counts["valid"] == 0
-        summaries = outputs.write_summaries(
-            metrics.comprehensive_summary(valid, rollup, policy=policy), target, day, empty=nothing
-        )
-        tables = {contracts.SUMMARY_CONTRACTS[name]: frame for name, frame in summaries.items()}
-        tables[contracts.PROCESSED] = outputs.write_processed(
-            processed_rows(valid, salt, separator), target, day, empty=nothing
-        )
-        tables[contracts.INVALID] = outputs.write_invalid(invalid, target, day, empty=counts["invalid"] == 0)
+        summaries = metrics.comprehensive_summary(valid, rollup, policy=policy)
+        from_valid = {contracts.PROCESSED: processed_rows(valid, salt, separator)} | {
+            contracts.SUMMARY_CONTRACTS[name]: frame for name, frame in summaries.items()
+        }
+        empty = set() if counts["valid"] else set(from_valid)
+        if not counts["invalid"]:
+            empty.add(contracts.INVALID)
+        tables = outputs.write_tables({**from_valid, contracts.INVALID: invalid}, target, day, empty)
         quality = metrics.data_quality_summary(staged, copies_col=COPIES)
         seconds = run.ended("SUCCESS").duration_seconds
         tables[contracts.QUALITY_REPORTS] = outputs.write_quality_report(
