@@ -23,6 +23,7 @@ from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
 from tallyhouse.operators import masking, metrics
 from tallyhouse.operators.validation import flag_transactions
 from tallyhouse.schema import IS_CORRUPT
+from tallyhouse.session import size_shuffles
 from tallyhouse.sinks import files, outputs
 from tallyhouse.sinks.jdbc import write_jdbc
 from tallyhouse.sinks.outputs import OutputTarget
@@ -91,6 +92,7 @@ def process_transactions(
     record_run(spark, target, run)
     status, scratch = "FAILED", []
     try:
+        size_shuffles(raw)
         flagged = flag_transactions(raw, rules, order_by, copies_col=COPIES)
         staged, path = files.stage(hide_cards(flagged), "flagged", ["is_valid"])
         scratch.append(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the job relies on; pass them to the session builder or spark-submit.
 SESSION_SETTINGS = {
@@ -28,6 +28,40 @@ def build_session(app_name: str = "tallyhouse") -> SparkSession:
     return builder.getOrCreate()
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITION_BYTES = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 50_000
+UNKNOWN_BYTES = 1 << 62  # Spark's stand-in for "size not known" is the largest bigint
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables ``df`` reads, as the optimizer knows them; starts no job.
+
+    An input of unknown size, such as rows sent from the driver, counts as nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
+def size_shuffles(df: DataFrame) -> int:
+    """Let the number of shuffle partitions grow with the input of ``df``.
+
+    Adaptive execution merges partitions that turn out small but never splits large
+    ones, so the count it starts from has to suit the data: one partition per 256 MB
+    read, at least the session's own setting and at most 50,000. Call it before an
+    action; it holds for the session until it is called again. Returns the count.
+    """
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-input_bytes(df) // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if wanted > floor:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        return wanted
+    spark.conf.unset(INITIAL_PARTITIONS)
+    return floor
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder for intermediate tables, reachable from every executor.
 

@@ -15,7 +15,7 @@ from tallyhouse.operators.dedup import dedup_transactions
 from tallyhouse.plans.daily_run import process_transactions
 from tallyhouse.plans.result_views import register_views
 from tallyhouse.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA
-from tallyhouse.session import scratch_path
+from tallyhouse.session import scratch_path, size_shuffles
 from tallyhouse.sinks import files, jdbc
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sources import transactions
@@ -33,11 +33,13 @@ JOB_DATE = "2024-01-30"
 
 
 def query(function: Query) -> Query:
-    """Register under the function's name, with the session's clock set to UTC."""
+    """Register under the function's name: clock in UTC, shuffles sized for the tables."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, folder)
+        result = function(spark, folder)
+        size_shuffles(result)
+        return result
 
     QUERIES[function.__name__] = run
     return function

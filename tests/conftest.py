@@ -20,7 +20,7 @@ def spark():
     for key, value in SESSION_SETTINGS.items():
         builder = builder.config(key, value)
     session = (
-        builder.config("spark.sql.shuffle.partitions", "8")
+        builder.config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
