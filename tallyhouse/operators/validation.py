@@ -58,6 +58,15 @@ def validation_error_breakdown(flagged: DataFrame) -> DataFrame:
     )
 
 
+def validation_error_text(flagged: DataFrame) -> DataFrame:
+    """The breakdown as one JSON object, one entry per rule that failed; NULL if none did."""
+    entries = F.sort_array(F.collect_list(F.struct("validation_error", "failures")))
+    text = F.to_json(F.map_from_entries(entries))
+    return validation_error_breakdown(flagged).agg(
+        F.when(F.count(F.lit(1)) > 0, text).alias("errors_encountered")
+    )
+
+
 def flag_transactions(
     raw: DataFrame,
     rules: Sequence[R.Rule] | None = None,

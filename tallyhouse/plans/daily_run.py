@@ -21,7 +21,7 @@ from tallyhouse.functions.money import MONEY
 from tallyhouse.functions.rules import Rule
 from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
 from tallyhouse.operators import masking, metrics
-from tallyhouse.operators.validation import flag_transactions
+from tallyhouse.operators.validation import flag_transactions, validation_error_text
 from tallyhouse.schema import IS_CORRUPT
 from tallyhouse.session import size_shuffles
 from tallyhouse.sinks import files, outputs
@@ -121,8 +121,9 @@ def process_transactions(
         tables = outputs.write_tables({**from_valid, contracts.INVALID: invalid}, target, day, empty)
         quality = metrics.data_quality_summary(staged, copies_col=COPIES)
         seconds = run.ended("SUCCESS").duration_seconds
+        errors = validation_error_text(staged).scalar()
         tables[contracts.QUALITY_REPORTS] = outputs.write_quality_report(
-            quality, target, day, run.start_time, seconds
+            quality, target, day, run.start_time, seconds, errors
         )
 
         status = "PARTIAL"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import contracts
@@ -73,32 +74,55 @@ def write_table(
 
 
 def write_tables(
-    tables: dict[Contract, DataFrame], target: OutputTarget, day: str, empty: Collection[Contract] = ()
+    tables: dict[Contract, DataFrame],
+    target: OutputTarget,
+    day: str,
+    empty: Collection[Contract] | None = None,
 ) -> dict[Contract, DataFrame]:
     """Write independent tables side by side, so that the small ones do not queue.
 
-    ``empty`` names the tables known to have no rows. All writes are waited for; the
-    first error is raised.
+    ``empty`` names the tables that have no rows, if that is known. All writes are waited
+    for; the first error is raised.
     """
 
     @inheritable_thread_target(next(iter(tables.values())).sparkSession)
     def write(contract: Contract) -> DataFrame:
-        return write_table(tables[contract], contract, target, day, contract in empty)
+        no_rows = None if empty is None else contract in empty
+        return write_table(tables[contract], contract, target, day, no_rows)
 
     with ThreadPoolExecutor(max_workers=PARALLEL_WRITES) as pool:
         pending = {contract: pool.submit(write, contract) for contract in tables}
     return {contract: written.result() for contract, written in pending.items()}
 
 
+def write_processed(masked: DataFrame, target: OutputTarget, day: str) -> DataFrame:
+    return write_table(masked, contracts.PROCESSED, target, day)
+
+
+def write_invalid(invalid: DataFrame, target: OutputTarget, day: str) -> DataFrame:
+    """The day's invalid transactions; the contract takes a masked card only."""
+    return write_table(invalid, contracts.INVALID, target, day)
+
+
+def write_summaries(summaries: dict[str, DataFrame], target: OutputTarget, day: str) -> dict[Contract, DataFrame]:
+    """Summaries by name, as ``comprehensive_summary`` returns them."""
+    return write_tables({contracts.SUMMARY_CONTRACTS[n]: frame for n, frame in summaries.items()}, target, day)
+
+
 def write_quality_report(
-    quality: DataFrame, target: OutputTarget, day: str, created_at, duration_seconds: int | None, errors: str | None = None
+    quality: DataFrame,
+    target: OutputTarget,
+    day: str,
+    created_at: dt.datetime,
+    duration_seconds: int | None,
+    errors: Column | str | None = None,
 ) -> DataFrame:
     """One row for the day, from an aggregate over the flagged transactions."""
     report = quality.withColumns(
         {
             "processing_date": F.lit(day),
             "processing_duration_seconds": F.lit(duration_seconds),
-            "errors_encountered": F.lit(errors),
+            "errors_encountered": errors if isinstance(errors, Column) else F.lit(errors),
             "created_at": F.lit(created_at),
         }
     )

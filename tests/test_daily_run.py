@@ -52,6 +52,14 @@ def test_result(done):
     assert "Raw transactions:     1,000" in report and "80.00%" in report
 
 
+def test_quality_report_names_the_errors(spark, done):
+    target, _, _ = done
+    report = outputs.read_output(spark, target, contracts.QUALITY_REPORTS).first()
+    errors = json.loads(report.errors_encountered)
+    assert list(errors) == sorted(errors) and errors["missing_amount"] == 25
+    assert report.raw_transactions == 1000
+
+
 def test_every_table_meets_its_contract(spark, done):
     target, _, _ = done
     for contract in STORED:
@@ -117,7 +125,8 @@ def test_a_day_without_records(spark, tmp_path):
     target = OutputTarget(str(tmp_path))
     result = daily_run.process_transactions(transactions(spark, {}).limit(0), target, DAY)
     assert (result.raw_count, result.data_quality_percentage) == (0, 0.0)
-    assert outputs.read_output(spark, target, contracts.QUALITY_REPORTS).first().total_transactions == 0
+    report = outputs.read_output(spark, target, contracts.QUALITY_REPORTS).first()
+    assert (report.total_transactions, report.errors_encountered) == (0, None)
 
 
 def test_failures_are_loud_and_logged(spark, tmp_path):

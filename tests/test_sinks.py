@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse import contracts
 from tallyhouse.contracts import Contract, ContractViolation
+from tallyhouse.operators import masking, metrics
+from tallyhouse.operators import validation as V
 from tallyhouse.sinks import files, jdbc, outputs, run_log
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sources.transactions import read_transactions
@@ -172,6 +174,19 @@ def test_quality_report_row(spark, tmp_path):
     assert (row[0].processing_date, row[0].data_quality_percentage) == (dt.date(2025, 6, 24), Decimal("75.00"))
 
 
+def test_named_writers(spark, tmp_path):
+    df = transactions(spark, {}, {"transaction_id": "t2", "amount": None}).withColumn("created_at", F.current_timestamp())
+    flagged = V.flag_transactions(df)
+    valid, target = V.valid_transactions(flagged), OutputTarget(str(tmp_path))
+    outputs.write_processed(masking.apply_all_masking(valid), target, "2025-06-24")
+    outputs.write_invalid(masking.mask_card_number(V.invalid_transactions(flagged)), target, "2025-06-24")
+    outputs.write_summaries(metrics.comprehensive_summary(valid), target, "2025-06-24")
+    for contract in (contracts.PROCESSED, contracts.INVALID, *contracts.SUMMARY_CONTRACTS.values()):
+        assert outputs.read_output(spark, target, contract).count() == 1
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        outputs.write_invalid(V.invalid_transactions(flagged), target, "2025-06-24")
+
+
 def test_run_log_keeps_one_row_per_run(spark, tmp_path):
     target = OutputTarget(str(tmp_path))
     run = run_log.Run(dt.date(2025, 6, 24), "s3")
