@@ -36,6 +36,7 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> int:
     args = parse_arguments(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     jdbc = None
     if args.jdbc_url:
         jdbc = JdbcTarget(args.jdbc_url, dict(p.split("=", 1) for p in args.jdbc_property))

@@ -22,7 +22,8 @@ def dedup_transactions(
     """Keep one row per key: the first by ``order_by``, ties broken by the other columns.
 
     Without ``order_by`` the earliest ``timestamp`` wins (NULLs last). The order is
-    total, so the survivor does not depend on how the input is partitioned.
+    total, so the survivor does not depend on how the input is partitioned. Every column
+    must be of a type Spark can order, which leaves out maps.
 
     The survivor is a ``min`` over structs: every map task reduces its own copies of a
     key to one row before the shuffle, so a key that holds a third of the input sends
@@ -31,7 +32,9 @@ def dedup_transactions(
 
     Rows in which a key is NULL are all kept (several broken files must stay visible),
     unless ``collapse_null_keys`` asks for the one-row reading. They are spread over the
-    reducers by their position in the input instead of meeting in one group.
+    reducers by their position in the input instead of meeting in one group. Positions
+    are the same in every attempt at a task that reads files; behind a shuffle, whose row
+    order may change, the checksum settings in ``session`` make Spark notice.
     """
     keys = list(keys)
     if order_by is None:

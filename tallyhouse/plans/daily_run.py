@@ -23,7 +23,7 @@ from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
 from tallyhouse.operators import masking, metrics
 from tallyhouse.operators.validation import flag_transactions, validation_error_text
 from tallyhouse.schema import IS_CORRUPT
-from tallyhouse.session import size_shuffles
+from tallyhouse.session import require_utc, size_shuffles
 from tallyhouse.sinks import files, outputs
 from tallyhouse.sinks.jdbc import write_jdbc
 from tallyhouse.sinks.outputs import OutputTarget
@@ -44,6 +44,10 @@ class RunResult:
     data_quality_percentage: float
     summaries_generated: int
 
+    @property
+    def repeats_removed(self) -> int:
+        return self.raw_count - self.valid_count - self.invalid_count
+
 
 def hide_cards(flagged: DataFrame) -> DataFrame:
     """Replace the card number by its mask while valid and invalid rows are still together.
@@ -87,6 +91,7 @@ def process_transactions(
     relational copy failed.
     """
     spark = raw.sparkSession
+    require_utc(spark)
     day = str(processing_date)
     run = Run(dt.date.fromisoformat(day), pipeline_mode)
     record_run(spark, target, run)
@@ -97,6 +102,7 @@ def process_transactions(
         staged, path = files.stage(hide_cards(flagged), "flagged", ["is_valid"])
         scratch.append(path)
 
+        size_shuffles(staged)
         counts = run_counts(staged)
         run = replace(
             run,
@@ -166,6 +172,7 @@ def processing_report(result: RunResult) -> str:
         [
             f"Processing date:      {result.processing_date}",
             f"Raw transactions:     {result.raw_count:,}",
+            f"Repeats removed:      {result.repeats_removed:,}",
             f"Valid transactions:   {result.valid_count:,}",
             f"Invalid transactions: {result.invalid_count:,}",
             f"Data quality:         {result.data_quality_percentage:.2f}%",

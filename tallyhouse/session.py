@@ -28,6 +28,13 @@ def build_session(app_name: str = "tallyhouse") -> SparkSession:
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Dates and hours are taken in the session's zone; in any other they would be off."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "+00:00", "Z"):
+        raise RuntimeError(f"the session time zone is {zone}: set spark.sql.session.timeZone to UTC")
+
+
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITION_BYTES = 256 << 20
 MAX_SHUFFLE_PARTITIONS = 50_000

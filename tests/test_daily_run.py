@@ -50,6 +50,16 @@ def test_result(done):
     assert result.data_quality_percentage == pytest.approx(80.0)
     report = daily_run.processing_report(result)
     assert "Raw transactions:     1,000" in report and "80.00%" in report
+    assert result.repeats_removed == 20
+
+
+def test_a_session_outside_utc_is_refused(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(RuntimeError, match="time zone"):
+            daily_run.process_transactions(transactions(spark, {}), OutputTarget(str(tmp_path)), DAY)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_quality_report_names_the_errors(spark, done):
