@@ -89,5 +89,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one intermediate table, below a folder of this application."""
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one intermediate table, below a folder of this application.
+
+    The folder goes when the driver's JVM ends, with whatever was not dropped before.
+    """
+    folder = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    file_system, path = hadoop_path(spark, folder)
+    file_system.mkdirs(path)
+    file_system.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, uri: str):
+    """The file system that holds ``uri``, and its path object."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.schema import TIMESTAMP_FORMAT
-from tallyhouse.session import scratch_path
+from tallyhouse.session import hadoop_path, scratch_path
 
 FORMATS = ("parquet", "json")
 DAY = "date"
@@ -121,5 +121,5 @@ def stage(df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> tuple
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this job created, through the file system that holds it."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    file_system, target = hadoop_path(spark, path)
+    file_system.delete(target, True)

@@ -66,6 +66,11 @@ def _joined(df: DataFrame, *arrays: str) -> DataFrame:
     return df.withColumns({c: F.array_join(c, ",") for c in arrays})
 
 
+def _naive_times(df: DataFrame, *columns: str) -> DataFrame:
+    """Times as UTC wall clock, whatever zone the reader of the result is in."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
 # Sources
 
 
@@ -98,21 +103,21 @@ def _landed_json(spark: SparkSession, folder: str) -> str:
 @query
 def json_transactions(spark, folder):
     raw = transactions.read_transactions(spark, _landed_json(spark, folder), multi_line=False)
-    return raw.select(*TRANSACTION_FIELDS, *transactions.PARTITION_COLUMNS)
+    return _naive_times(raw.select(*TRANSACTION_FIELDS, *transactions.PARTITION_COLUMNS), "timestamp")
 
 
 @query
 def json_one_day(spark, folder):
     root = _landed_json(spark, folder)
     raw = transactions.read_by_date(spark, root, *ONE_DAY, mode="s3", multi_line=False)
-    return raw.select(*TRANSACTION_FIELDS)
+    return _naive_times(raw.select(*TRANSACTION_FIELDS), "timestamp")
 
 
 @query
 def json_date_range(spark, folder):
     root = _landed_json(spark, folder)
     raw = transactions.read_date_range(spark, root, *RANGE, multi_line=False)
-    return raw.select(*TRANSACTION_FIELDS)
+    return _naive_times(raw.select(*TRANSACTION_FIELDS), "timestamp")
 
 
 # Cleaning
@@ -430,10 +435,6 @@ def _finished_job(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return register_views(spark, target)
 
 
-def _naive_times(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
-
-
 @query
 def daily_job_processed(spark, folder):
     stored = _finished_job(spark, folder)["processed_transactions"]

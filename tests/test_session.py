@@ -36,7 +36,6 @@ def test_shuffles_grow_with_the_input(spark, small, monkeypatch):
 
 class Context:
     master = "yarn"
-    applicationId = "app-1"  # noqa: N815
 
     def getCheckpointDir(self):  # noqa: N802
         return None
@@ -52,8 +51,17 @@ class Session:
 def test_scratch_follows_the_configured_folder():
     cluster = Session(spark_checkpoint_dir="hdfs://cluster/scratch/")
     assert session.scratch_root(cluster) == "hdfs://cluster/scratch"
-    assert session.scratch_path(cluster, "a").startswith("hdfs://cluster/scratch/app-1/a-")
-    assert session.scratch_path(cluster, "a") != session.scratch_path(cluster, "a")
+
+
+def test_scratch_paths_are_fresh_and_end_with_the_application(spark):
+    one, other = session.scratch_path(spark, "a"), session.scratch_path(spark, "a")
+    assert one != other
+    folder = f"{session.scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    assert one.startswith(f"{folder}/a-")
+    file_system, path = session.hadoop_path(spark, folder)
+    assert file_system.exists(path)
+    assert file_system.cancelDeleteOnExit(path)
+    file_system.deleteOnExit(path)
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
