@@ -73,6 +73,10 @@ def run_counts(staged: DataFrame) -> dict[str, int]:
     return counts.first().asDict()
 
 
+def _described(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
+
+
 def process_transactions(
     raw: DataFrame,
     target: OutputTarget,
@@ -87,8 +91,7 @@ def process_transactions(
     """Run the job on ``raw`` and store everything under partition ``processing_date``.
 
     Running the same date again replaces its outputs. Any failure raises after the run
-    log was set to FAILED, or to PARTIAL if the files were complete and only the
-    relational copy failed.
+    log was set to FAILED, or to PARTIAL if writing the outputs had already begun.
     """
     spark = raw.sparkSession
     require_utc(spark)
@@ -124,6 +127,7 @@ def process_transactions(
         empty = set() if counts["valid"] else set(from_valid)
         if not counts["invalid"]:
             empty.add(contracts.INVALID)
+        status = "PARTIAL"
         tables = outputs.write_tables({**from_valid, contracts.INVALID: invalid}, target, day, empty)
         quality = metrics.data_quality_summary(staged, copies_col=COPIES)
         seconds = run.ended("SUCCESS").duration_seconds
@@ -132,14 +136,13 @@ def process_transactions(
             quality, target, day, run.start_time, seconds, errors
         )
 
-        status = "PARTIAL"
         if target.jdbc:
             for contract, frame in tables.items():
                 shaped = outputs.database_shape(frame, contract)
                 write_jdbc(shaped, target.jdbc, outputs.database_table(contract))
         record_run(spark, target, run.ended("SUCCESS"))
     except Exception as error:
-        record_run(spark, target, run.ended(status, f"{type(error).__name__}: {error}"))
+        record_run(spark, target, run.ended(status, _described(error)))
         raise
     finally:
         for path in scratch:
@@ -160,9 +163,14 @@ def process_day(
     multi_line: bool = True,
     **options,
 ) -> RunResult:
-    """One day of JSON files through ``process_transactions``."""
-    raw = transactions.read_by_date(spark, raw_root, year, month, day, mode, multi_line)
+    """One day of JSON files through ``process_transactions``. A missing day is a FAILED run."""
     date = dt.date(int(year), int(month), int(day))
+    run = Run(date, mode)
+    try:
+        raw = transactions.read_by_date(spark, raw_root, year, month, day, mode, multi_line)
+    except Exception as error:
+        record_run(spark, target, run.ended("FAILED", _described(error)))
+        raise
     return process_transactions(raw, target, date, pipeline_mode=mode, **options)
 
 

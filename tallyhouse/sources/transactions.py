@@ -53,7 +53,13 @@ def read_transactions(
 
 
 def read_by_date(
-    spark: SparkSession, root: str, year: int | str, month: int | str, day: int | str, mode: str, multi_line: bool = True
+    spark: SparkSession,
+    root: str,
+    year: int | str,
+    month: int | str,
+    day: int | str,
+    mode: str,
+    multi_line: bool = True,
 ) -> DataFrame:
     """One day: ``year=/month=/day=`` folders in ``s3`` mode, ``Y_M_D.json`` in ``local`` mode.
 

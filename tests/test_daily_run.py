@@ -188,6 +188,16 @@ def test_a_failed_relational_copy_is_partial(spark, tmp_path, monkeypatch):
     assert outputs.read_output(spark, target, contracts.PROCESSED).count() == 1
 
 
+def test_a_broken_contract_while_writing_is_partial(spark, tmp_path, monkeypatch):
+    strict = {"amount is odd": ("hourly_amount", "hourly_amount < 0")}
+    monkeypatch.setitem(contracts.HOURLY_PATTERNS.checks, *strict.popitem())
+    target = OutputTarget(str(tmp_path))
+    with pytest.raises(Exception, match="hourly_patterns: amount is odd"):
+        daily_run.process_transactions(transactions(spark, {}), target, DAY)
+    assert read_run_log(spark, target).first().status == "PARTIAL"
+    assert outputs.read_output(spark, target, contracts.HOURLY_PATTERNS).isEmpty()
+
+
 def test_views_answer_sql(spark, done):
     target, _, _ = done
     register_views(spark, target)
@@ -253,8 +263,10 @@ def test_command_line(shared_session, tmp_path, mode):
     assert read_run_log(shared_session, target).first().pipeline_mode == mode
 
 
-def test_command_line_failure_gives_exit_code_one(shared_session, tmp_path):
+def test_a_missing_day_gives_exit_code_one_and_a_failed_run(shared_session, tmp_path):
     assert cli.main(arguments(tmp_path, "s3")) == 1
+    row = read_run_log(shared_session, OutputTarget(str(tmp_path / "out"))).first()
+    assert row.status == "FAILED" and "PATH_NOT_FOUND" in row.error_message
 
 
 def test_command_line_needs_its_arguments():
