@@ -85,3 +85,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             break
     least = links.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
     return nodes.join(least, "node", "left").select("node", F.coalesce("m", "node").alias("component"))
+
+
+def texts(batch, id_name: str = "id", text_name: str = "text") -> Iterator[tuple]:
+    """(id, text as bytes) of an Arrow batch, one at a time; a null text is empty."""
+    for key, text in zip(batch.column(id_name), batch.column(text_name), strict=True):
+        yield key.as_py(), text.as_py() or b""
+
+
+def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The two columns a text operator reads, the text as UTF-8 bytes."""
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))

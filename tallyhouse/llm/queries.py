@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import table
 from tallyhouse.llm.exact_dedup import exact_dedup
+from tallyhouse.llm.packing import pack
+from tallyhouse.llm.token_counts import count_tokens, sentencepiece_vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +41,23 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op2_packing(spark, folder):
+    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query
+def op4_token_counts(spark, folder):
+    pieces = sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return count_tokens(table(spark, folder, "documents"), pieces).withColumnRenamed("id", "doc_id")
