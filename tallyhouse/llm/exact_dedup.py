@@ -29,6 +29,8 @@ STATE_SETTINGS = {
     "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
     "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "256",
     "spark__sql__streaming__stateStore__rocksdb__writeBufferSizeMB": "4",
+    # Otherwise every state partition sets several MB of disk aside for its logs.
+    "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",
 }
 SALTS = 16
 
