@@ -12,6 +12,7 @@ from tallyhouse.llm.common import table
 from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.token_counts import count_tokens, sentencepiece_vocabulary
+from tallyhouse.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +62,16 @@ def op2_packing(spark, folder):
 def op4_token_counts(spark, folder):
     pieces = sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     return count_tokens(table(spark, folder, "documents"), pieces).withColumnRenamed("id", "doc_id")
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query
+def op9_url_filter(spark, folder):
+    """Pages are labelled through the row of ``labels`` with their number: poor or toxic means block."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels").select("doc_id", F.expr("quality = 0 OR toxic = 1").alias("blocked"))
+    labelled = pages.join(labels, pages.page_id == labels.doc_id).where("blocked is not null").select("url", "blocked")
+    judged = filter_urls(pages, labelled, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.array_join("mined_rule", " ").alias("mined_rule"), "confidence")
