@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import table
 from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.packing import pack
+from tallyhouse.llm.simhash import simhash_components
 from tallyhouse.llm.token_counts import count_tokens, sentencepiece_vocabulary
 from tallyhouse.llm.url_filter import filter_urls
 
@@ -75,3 +76,10 @@ def op9_url_filter(spark, folder):
     labelled = pages.join(labels, pages.page_id == labels.doc_id).where("blocked is not null").select("url", "blocked")
     judged = filter_urls(pages, labelled, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", F.array_join("mined_rule", " ").alias("mined_rule"), "confidence")
+
+
+@query
+def op6_simhash(spark, folder):
+    groups = simhash_components(table(spark, folder, "documents"))
+    fingerprint = F.lower(F.lpad(F.hex(F.col("fp").getItem(0)), 16, "0"))
+    return groups.select(F.col("id").alias("doc_id"), fingerprint.alias("fingerprint"), F.col("component").alias("component_id"))
