@@ -13,6 +13,7 @@ from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.simhash import simhash_components
 from tallyhouse.llm.token_counts import count_tokens, sentencepiece_vocabulary
+from tallyhouse.llm.toxicity import fit_toxicity, fold, score_toxicity
 from tallyhouse.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +84,25 @@ def op6_simhash(spark, folder):
     groups = simhash_components(table(spark, folder, "documents"))
     fingerprint = F.lower(F.lpad(F.hex(F.col("fp").getItem(0)), 16, "0"))
     return groups.select(F.col("id").alias("doc_id"), fingerprint.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+TOXIC_FROM = 0.3
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame):
+    """Learns from all labelled rows but those of the held-out fold."""
+    known = labels.where(fold(F.col("doc_id"), 4) != 2).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    return fit_toxicity(docs, known)
+
+
+@query
+def op8_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity_model(docs, table(spark, folder, "labels"))
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
+    )
