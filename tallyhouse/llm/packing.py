@@ -15,6 +15,7 @@ the input is split into tasks; for one split it is always the same.
 
 from __future__ import annotations
 
+import struct
 from bisect import insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from tallyhouse.llm.common import id_and_text, texts
 
 WINDOW_TOKENS = 1 << 21
-CACHED_WORDS, CACHED_STEMS = 300_000, 500_000
+CACHED_WORDS, CACHED_STEMS = 500_000, 1_000_000
 PUNCTUATION = b".,;:!?"
 
 
@@ -45,6 +46,7 @@ class WordIds(dict):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.stems: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         # The byte-level alphabet: printable bytes stand for themselves, the rest follow from 256 on.
@@ -52,37 +54,37 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(PUNCTUATION)
-        ids = self._stem(stem) + self._whole(word[len(stem) :]) if stem else self._whole(word)
-        self[word] = ids
-        return ids
-
-    def _whole(self, word: bytes) -> bytes:
-        ids = self.stems.get(word)
-        if ids is None:
-            ids = self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids) if word else b""
-            self.stems[word] = ids
-        return ids
-
-    def _stem(self, stem: bytes) -> bytes:
-        word = stem.decode()
-        if not word.isalpha() or max(word) > "\xff":
-            return self._whole(stem)
-        lowered = word.lower().encode()
+        lowered = stem.lower()
         ids = self.stems.get(lowered)
         if ids is None:
-            tokens = self.model.tokenize(lowered.decode("latin1").translate(self.alphabet))
+            plain = lowered.decode()
+            if not plain.isalpha() or max(plain) > "\xff":
+                ids = self[word] = self._whole(word)
+                return ids
+            tokens = self.model.tokenize(plain.lower().encode().decode("latin1").translate(self.alphabet))
             ids = self.stems[lowered] = self._packed([token.id for token in tokens])
+        if len(stem) < len(word):
+            tail = word[len(stem) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._whole(tail)
+            ids += self.tails[tail]
+        self[word] = ids
         return ids
 
+    def _whole(self, word: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def trim(self) -> None:
         if len(self) > CACHED_WORDS:
             self.clear()
         if len(self.stems) > CACHED_STEMS:
             self.stems.clear()
+        if len(self.tails) > CACHED_WORDS:
+            self.tails.clear()
 
     def of_text(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
