@@ -12,6 +12,7 @@ from tallyhouse.llm.common import table
 from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.simhash import simhash_components
+from tallyhouse.llm.suffix_dedup import suffix_dedup
 from tallyhouse.llm.token_counts import count_tokens, sentencepiece_vocabulary
 from tallyhouse.llm.toxicity import fit_toxicity, fold, score_toxicity
 from tallyhouse.llm.url_filter import filter_urls
@@ -106,3 +107,9 @@ def op8_toxicity(spark, folder):
         "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op3_suffix_dedup(spark, folder):
+    result = suffix_dedup(table(spark, folder, "documents"), 200)
+    return result.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
