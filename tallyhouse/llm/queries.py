@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.block_dedup import block_dedup
 from tallyhouse.llm.common import table
 from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.packing import pack
@@ -113,3 +114,9 @@ def op8_toxicity(spark, folder):
 def op3_suffix_dedup(spark, folder):
     result = suffix_dedup(table(spark, folder, "documents"), 200)
     return result.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op10_block_dedup(spark, folder):
+    result = block_dedup(table(spark, folder, "documents"), 50)
+    return result.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
