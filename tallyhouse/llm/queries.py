@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.block_dedup import block_dedup
 from tallyhouse.llm.common import table
+from tallyhouse.llm.decontamination import contaminated
 from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.simhash import simhash_components
@@ -120,3 +121,9 @@ def op3_suffix_dedup(spark, folder):
 def op10_block_dedup(spark, folder):
     result = block_dedup(table(spark, folder, "documents"), 50)
     return result.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op5_decontamination(spark, folder):
+    pairs = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return pairs.withColumnRenamed("id", "doc_id")

@@ -41,10 +41,10 @@ def byte_symbols(text: bytes) -> np.ndarray:
     return _BYTE[np.frombuffer(text, np.uint8)]
 
 
-def word_symbols(text: bytes) -> Words:
-    """Words are runs of bytes other than ASCII white space."""
+def word_symbols(text: bytes, separators: np.ndarray = _SPACE) -> Words:
+    """Words are runs of bytes that are not ``separators``, by default ASCII white space."""
     octets = np.frombuffer(text, np.uint8)
-    inside = np.concatenate(([False], ~_SPACE[octets], [False]))
+    inside = np.concatenate(([False], ~separators[octets], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = edges[::2], edges[1::2]
     length = last - first
