@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.block_dedup import block_dedup
-from tallyhouse.llm.common import table
+from tallyhouse.llm.common import fold, table
 from tallyhouse.llm.decontamination import contaminated
 from tallyhouse.llm.exact_dedup import exact_dedup
+from tallyhouse.llm.language_model import train_and_score
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.simhash import simhash_components
 from tallyhouse.llm.suffix_dedup import suffix_dedup
 from tallyhouse.llm.token_counts import count_tokens, sentencepiece_vocabulary
-from tallyhouse.llm.toxicity import fit_toxicity, fold, score_toxicity
+from tallyhouse.llm.toxicity import fit_toxicity, score_toxicity
 from tallyhouse.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +128,18 @@ def op10_block_dedup(spark, folder):
 def op5_decontamination(spark, folder):
     pairs = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return pairs.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_language_model(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scores, model = train_and_score(docs, docs.where(fold(F.col("doc_id"), 7) != 2))
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        (fold(F.col("id"), 7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
