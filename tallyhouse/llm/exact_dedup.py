@@ -116,3 +116,17 @@ def exact_dedup(
     groups = rest.groupBy("digest", "text").agg(F.max(F.struct("id", "row")).alias("stays"), F.count(F.lit(1)).alias("group_size"))
     groups = groups.select("digest", "text", F.col("stays.id").alias("keep_id"), F.col("stays.row").alias("keep_row"), "group_size")
     return plain.union(rest.join(groups, ["digest", "text"]).select(*output))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    rows = exact_dedup(docs, id_col, text_col).groupBy("id", "digest").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    rows = staged(rows.where("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "n"), "kept-rows")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (sha256_digest(text) == F.col("_digest"))
+    once = docs.join(rows.where("n = 1"), same, "left_semi")
+    # Rows that are repeated with their id: one of them.
+    repeated = rows.where("n > 1")
+    if repeated.isEmpty():
+        return once
+    return once.union(docs.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))

@@ -12,7 +12,8 @@ Which pairs are looked at: two ways, both by equal keys.
   fingerprints within d/2 bits of itself, and two fingerprints share such a place exactly when
   they are within d bits. Linking each to the smallest of its place keeps the components.
 * ``similar_links`` (several lanes, large distance) uses bands of bits as keys, as many as make a
-  miss unlikely. A crowded band links its members to its smallest and largest fingerprint.
+  miss unlikely, and proposes pairs whose shingle sets are then compared. A crowded band proposes
+  each member with two of its members.
 
 Defined results: a null or empty text has fingerprint zero; fewer words than a shingle count as one
 shingle; repeated rows share a component; an empty table gives no rows. Other columns are not read.
@@ -20,6 +21,7 @@ shingle; repeated rows share a component; an empty table gives no rows. Other co
 
 from __future__ import annotations
 
+import math
 import random
 from functools import reduce
 from itertools import combinations
@@ -116,18 +118,27 @@ def close(a: str, b: str, lanes: int, distance: int) -> Column:
 
 
 def _keyed(table: DataFrame, keys: list[Column]) -> DataFrame:
-    """One row per fingerprint and key, with the number of rows that share the key."""
+    """(k, v, f): one row per fingerprint, whose short name is f, and key."""
     entries = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), key.alias("v")) for i, key in enumerate(keys)]))
-    rows = table.select("fp", "pivots", entries.alias("key"))
-    return rows.select("fp", "pivots", "key.k", "key.v")
+    return table.select("f", entries.alias("key")).select("key.k", "key.v", "f")
 
 
-def _pairs(keyed: DataFrame, small: DataFrame, lanes: int, distance: int) -> DataFrame:
-    """Verified pairs (a, b) that share a key of ``small``."""
-    rows = keyed.join(small, ["k", "v"]).select("k", "v", F.struct("fp", "pivots").alias("x"))
-    other = rows.select("k", "v", F.col("x").alias("y"))
-    pairs = rows.join(other, ["k", "v"]).where(F.col("x.fp") < F.col("y.fp")).where(close("x", "y", lanes, distance))
-    return pairs.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+def _survivors(pairs: DataFrame, table: DataFrame, lanes: int, distance: int) -> DataFrame:
+    """Pairs (a, b) of short names: those whose pivots and bits allow it, as fingerprints."""
+    side = lambda name, x: table.select(F.col("f").alias(name), F.struct("fp", "pivots").alias(x))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(close("x", "y", lanes, distance))
+    return both.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+
+
+def _pairs(keyed: DataFrame, small: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of short names that share a key of ``small``."""
+    rows = keyed.join(small, ["k", "v"])
+    pairs = rows.withColumnRenamed("f", "a").join(rows.withColumnRenamed("f", "b"), ["k", "v"]).where("a < b")
+    return pairs.select("a", "b").distinct()
+
+
+def _named(fps: DataFrame, lanes: int) -> DataFrame:
+    return pivot_table(fps.withColumn("f", F.xxhash64("fp")), lanes)
 
 
 def _neighbour_masks(radius: int) -> list[int]:
@@ -146,10 +157,13 @@ def close_links(fps: DataFrame, distance: int) -> DataFrame:
     mask = lambda i: (1 << edges[i + 1]) - (1 << edges[i])
     one = F.col("fp").getItem(0)
     keys = [one.bitwiseAND(_signed(mask(i) | mask(j))) for i, j in combinations(range(blocks), 2)]
-    keyed = _keyed(pivot_table(fps, 1), keys)
+    table = _named(fps, 1)
+    keyed = _keyed(table, keys)
     sizes = staged(keyed.groupBy("k", "v").count().where("count > 1"), "simhash-keys")
-    links = _pairs(keyed, sizes.where(F.col("count") <= BUCKET).select("k", "v"), 1, distance)
-    crowded = keyed.join(sizes.where(F.col("count") > BUCKET).select("k", "v"), ["k", "v"], "left_semi").select("fp").distinct()
+    pairs = _pairs(keyed, sizes.where(F.col("count") <= BUCKET).select("k", "v"))
+    links = _survivors(pairs, table, 1, distance)
+    crowded = keyed.join(sizes.where(F.col("count") > BUCKET).select("k", "v"), ["k", "v"], "left_semi").select("f").distinct()
+    crowded = table.join(crowded, "f").select("fp")
     places = F.explode(F.array(*[F.lit(m) for m in _neighbour_masks(distance // 2)]))
     near = crowded.withColumn("mask", places).select("fp", F.col("fp").getItem(0).bitwiseXOR(F.col("mask")).alias("place"))
     least = near.groupBy("place").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("place", "least")
@@ -158,49 +172,104 @@ def close_links(fps: DataFrame, distance: int) -> DataFrame:
 
 
 def similar_links(fps: DataFrame, lanes: int, distance: int, bands: int, band_bits: int) -> DataFrame:
-    """Verified links (a, b) among distinct fingerprints of several lanes."""
+    """Pairs (a, b) of distinct fingerprints of several lanes within ``distance``, found by bands of bits."""
     draw = random.Random(SEED)
     masks = [_signed(sum(1 << i for i in draw.sample(range(64), band_bits))) for _ in range(bands)]
-    keyed = _keyed(pivot_table(fps, lanes), [F.col("fp").getItem(i % lanes).bitwiseAND(m) for i, m in enumerate(masks)])
-    ends = F.struct("fp", "pivots")
-    sizes = keyed.groupBy("k", "v").agg(F.count(F.lit(1)).alias("count"), F.min(ends).alias("low"), F.max(ends).alias("high"))
-    sizes = staged(sizes.where("count > 1"), "simhash-bands")
-    links = _pairs(keyed, sizes.where(F.col("count") <= BUCKET).select("k", "v"), lanes, distance)
+    table = _named(fps, lanes)
+    keyed = _keyed(table, [F.col("fp").getItem(i % lanes).bitwiseAND(m) for i, m in enumerate(masks)])
+    ends = [F.count(F.lit(1)).alias("count"), F.min("f").alias("low"), F.max("f").alias("high")]
+    sizes = staged(keyed.groupBy("k", "v").agg(*ends).where("count > 1"), "simhash-bands")
+    pairs = _pairs(keyed, sizes.where(F.col("count") <= BUCKET).select("k", "v"))
     crowded = keyed.join(sizes.where(F.col("count") > BUCKET), ["k", "v"])
-    crowded = crowded.select(F.struct("fp", "pivots").alias("x"), F.explode(F.array("low", "high")).alias("y"))
-    crowded = crowded.where(F.col("x.fp") != F.col("y.fp")).where(close("x", "y", lanes, distance))
-    return links.union(crowded.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
-
-
-def simhash_components(
-    docs: DataFrame,
-    shingle: int = 3,
-    distance: int = 2,
-    lanes: int = 1,
-    bands: int = 0,
-    band_bits: int = 0,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """(id, fp, component): the smallest id reachable over links, for every row.
+    crowded = crowded.select("f", F.explode(F.array("low", "high")).alias("end")).where("f <> end")
+    pairs = pairs.union(crowded.select(F.least("f", "end").alias("a"), F.greatest("f", "end").alias("b"))).distinct()
+    return _survivors(staged(pairs, "simhash-pairs"), table, lanes, distance)
 
-    With ``bands``, links are sought by bands of ``band_bits`` bits, else by ``close_links``.
-    """
-    rows = staged(fingerprints(docs, shingle, lanes, id_col, text_col), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("id").alias("least_id"))
-    distinct = classes.select("fp")
-    links = similar_links(distinct, lanes, distance, bands, band_bits) if bands else close_links(distinct, distance)
-    groups = connected_components(distinct.withColumnRenamed("fp", "node"), links)
+
+def _components(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, fp, component) of ``rows`` (id, fp): the smallest id of the fingerprints that links join."""
+    groups = connected_components(classes.select(F.col("fp").alias("node")), links)
     groups = staged(groups.withColumnRenamed("node", "fp").join(classes, "fp"), "simhash-groups")
     least = groups.groupBy("component").agg(F.min("least_id").alias("least"))
     named = groups.join(least, "component").select("fp", F.col("least").alias("component"))
     return rows.join(named, "fp").select("id", "fp", "component")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Components of texts whose sets of word shingles are about 0.8 alike or more.
+def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, component): the smallest id reachable over links of at most ``distance`` bits, for every row."""
+    rows = staged(fingerprints(docs, shingle, 1, id_col, text_col), "fingerprints")
+    classes = rows.groupBy("fp").agg(F.min("id").alias("least_id"))
+    return _components(rows, classes, close_links(classes.select("fp"), distance))
+
+
+def band_plan(rows: int, bits: int, similarity: float) -> tuple[int, int, int]:
+    """(distance, bands, bits of a band) for fingerprints of ``bits`` bits.
 
-    Shingle sets of Jaccard similarity 0.8 give fingerprints that differ in 15 % of their bits, on
-    average 39 of 256 with a deviation of 6; pairs within 42 bits are linked.
+    Sets of Jaccard similarity s differ in a share arccos(2s / (1 + s)) / pi of their bits; the
+    distance allows 2.7 deviations more. A band has so many bits that chance puts a row together
+    with a thirty-second of another one, and there are so many bands that a pair at the least
+    similarity agrees in four of them on average.
     """
-    return simhash_components(docs, shingle, 42, 4, 64, 20, id_col, text_col)
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    band_bits = min(48, math.ceil(math.log2(max(rows, 2))) + 4)
+    bands = math.ceil(4 / (1 - share) ** band_bits)
+    return math.ceil(bits * share + 2.7 * math.sqrt(bits * share * (1 - share))), bands, band_bits
+
+
+def _shingle_sets(docs: DataFrame, shingle: int, lanes: int) -> DataFrame:
+    """(fp, shingles): 32 bits of the hash of every distinct shingle, sorted."""
+
+    def compute(batches):
+        for batch in batches:
+            fps, sets = [], []
+            for _, text in texts(batch):
+                hashes = shingle_hashes(text, shingle)
+                fps.append(simhash(hashes, lanes))
+                sets.append(np.unique(hashes.astype(np.uint32)).tobytes())
+            columns = [pa.array(fps, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["fp", "shingles"])
+
+    return docs.mapInArrow(compute, "fp array<long>, shingles binary").dropDuplicates(["fp"])
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have the Jaccard similarity."""
+    side = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"{name}_set"))
+
+    def compute(batches):
+        for batch in batches:
+            near = []
+            for a, b in zip(batch.column("a_set"), batch.column("b_set"), strict=True):
+                a, b = np.frombuffer(a.as_py(), np.uint32), np.frombuffer(b.as_py(), np.uint32)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                near.append(common >= similarity * (len(a) + len(b) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set")
+    return joined.mapInArrow(compute, "a array<long>, b array<long>")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, lanes: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, fp, component) of texts whose sets of word shingles are alike to ``similarity`` or more.
+
+    Fingerprints propose the pairs; the shingle sets decide. Rows with one fingerprint are alike.
+    """
+    source = id_and_text(docs, id_col, text_col)
+    rows = staged(fingerprints(docs, shingle, lanes, id_col, text_col), "fingerprints")
+    classes = staged(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "fingerprint-classes")
+    distance, bands, band_bits = band_plan(classes.count(), 64 * lanes, similarity)
+    pairs = staged(similar_links(classes.select("fp"), lanes, distance, bands, band_bits), "near-pairs")
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
+    wanted = classes.join(asked, "fp").select(F.col("least_id").alias("wanted")).distinct()
+    texts_of = source.join(wanted, source["id"].eqNullSafe(wanted["wanted"]), "left_semi")
+    sets = staged(_shingle_sets(texts_of, shingle, lanes), "shingle-sets")
+    return _components(rows, classes, _alike(pairs, sets, similarity))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of near duplicates the rows of the smallest id, with all their columns."""
+    groups = near_duplicates(docs, shingle, id_col=id_col, text_col=text_col)
+    gone = groups.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_id")).distinct()
+    return docs.join(staged(gone, "near-duplicates"), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")

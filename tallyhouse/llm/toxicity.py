@@ -209,11 +209,11 @@ def fit_toxicity(
     return fit_logistic(rows["features"], labels_seen, row_weights, pairs, ratios, fairness)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` columns stay; ``score`` between 0 and 1 is added (replacing a column of that name)."""
+def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` columns stay; ``score_col`` between 0 and 1 is added (replacing a column of that name)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c != "score"]
-    names = [*kept, "score"]
+    kept = [c for c in docs.columns if c != score_col]
+    names = [*kept, score_col]
 
     def score(batches):
         model = sent.value
@@ -234,5 +234,5 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
             columns = [batch.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names)
 
-    schema = docs.select(*kept).schema.add("score", "double")
+    schema = docs.select(*kept).schema.add(score_col, "double")
     return docs.select(*kept).mapInArrow(score, schema)
