@@ -50,10 +50,17 @@ def average(sum_cents: Column, rows: Column, as_type: str = AVERAGE) -> Column:
 
 
 def square_parts(cents: Column) -> tuple[Column, Column]:
-    """High and low part of ``cents²``, each small enough to be summed as bigint."""
-    square = cents * cents
+    """High and low part of ``cents²``, each small enough to be summed as bigint.
+
+    With cents = a·2²⁰ + b the square is (a²·2²⁰ + 2ab)·2²⁰ + b², whose parts stay within a
+    bigint for amounts up to 30 billion, where the square itself would leave it above 30
+    million. A larger amount raises.
+    """
+    low = cents.bitwiseAND(F.lit((1 << _SQUARE_SPLIT_BITS) - 1))
+    high = F.shiftright(cents, _SQUARE_SPLIT_BITS)
+    square = low * low
     return (
-        F.shiftright(square, _SQUARE_SPLIT_BITS),
+        high * high * F.lit(1 << _SQUARE_SPLIT_BITS) + high * low * 2 + F.shiftright(square, _SQUARE_SPLIT_BITS),
         square.bitwiseAND(F.lit((1 << _SQUARE_SPLIT_BITS) - 1)),
     )
 

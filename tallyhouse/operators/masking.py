@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,16 +78,21 @@ def secure_dataset(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in SECURE_COLUMNS if c in df.columns])
 
 
+# What each environment masks; only production drops the raw columns.
+ENVIRONMENT_STEPS = {
+    "production": (apply_all_masking,),
+    "development": (mask_card_number,),
+    "staging": (mask_card_number, transaction_hash),
+}
+
+
 def mask_for_environment(df: DataFrame, environment: str = "production") -> DataFrame:
     """Masking by environment name, in any case; an unknown name gets full masking.
 
     Staging and development keep the raw columns next to the masked ones.
     """
-    level = environment.lower()
-    if level == "staging":
-        return transaction_hash(mask_card_number(df))
-    if level == "development":
-        return mask_card_number(df)
-    if level != "production":
-        log.warning("unknown environment %s: applying full masking", environment)
-    return apply_all_masking(df)
+    steps = ENVIRONMENT_STEPS.get(environment.lower())
+    if steps is None:
+        log.warning("no masking is defined for %r; it gets everything masked", environment)
+        steps = (apply_all_masking,)
+    return reduce(lambda frame, step: step(frame), steps, df)

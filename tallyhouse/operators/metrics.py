@@ -2,11 +2,11 @@
 
 A merchant-day can hold a third of all rows, so nothing is collected per merchant-day
 straight from the transactions. ``activity_rollup`` first reduces them to one row per
-merchant, date, hour, currency and location: a hash aggregate over fixed-width buffers
-whose map-side half absorbs hot merchants and whose shuffle key spreads the rest. Sets
-and totals per merchant-day are then built from that far smaller frame. Customers have
-no such bound and are only ever counted, by Spark's two-step distinct aggregate, which
-shuffles on (merchant, date, customer).
+merchant, date, currency and location, with the hours as bits of a number: a hash
+aggregate over fixed-width buffers whose map-side half absorbs hot merchants and whose
+shuffle key spreads the rest. Totals and sets per merchant-day are then folded, once,
+from that far smaller frame. Customers have no such bound and are only ever counted, by
+Spark's two-step distinct aggregate, which shuffles on (merchant, date, customer).
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from tallyhouse.functions import money, scoring, text
 from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
 from tallyhouse.schema import MERCHANT_DAY
 
-ROLLUP_KEYS = [*MERCHANT_DAY, "transaction_hour", "currency", "location"]
+ROLLUP_KEYS = [*MERCHANT_DAY, "currency", "location"]
+HOURS = range(24)
 
 
 def _cents_above(cents: Column, amount: float) -> Column:
@@ -41,7 +42,7 @@ def _with_cents(df: DataFrame) -> DataFrame:
 def activity_rollup(
     df: DataFrame, customer_col: str = "customer_id", policy: RiskPolicy = DEFAULT_RISK
 ) -> DataFrame:
-    """One row per merchant, date, hour, currency and location, with additive measures."""
+    """One row per merchant, date, currency and location, with additive measures."""
     cents = F.col("_cents")
     high_part, low_part = money.square_parts(cents)
     return (
@@ -58,32 +59,38 @@ def activity_rollup(
             F.count("completeness_score").alias("scores"),
             F.min("timestamp").alias("first_time"),
             F.max("timestamp").alias("last_time"),
+            F.bit_or(F.expr("shiftleft(1, transaction_hour)")).alias("hour_bits"),
             _cents_above(cents, policy.high_value).alias("high_value"),
             _cents_above(cents, policy.very_high_value).alias("very_high_value"),
         )
     )
 
 
-def merchant_day(rollup: DataFrame) -> DataFrame:
+def merchant_day(rollup: DataFrame, list_locations: bool = True) -> DataFrame:
     """Fold a rollup to one row per merchant and date: the input of A1, A2 and A7 alike.
 
-    The collected sets hold the distinct currencies, locations and hours of one
-    merchant-day, which is what the stored summary contains.
+    The stored summary lists the locations of a merchant-day; where only their number is
+    wanted, say so and none is collected.
     """
+    hours = F.filter(F.array(*map(F.lit, HOURS)), lambda h: F.getbit(F.coalesce(F.col("hour_bits"), F.lit(0)), h) == 1)
+    listed = F.sort_array(F.collect_set("location")).alias("locations")
+    locations = listed if list_locations else F.count_distinct("location").cast("int").alias("location_count")
     total = [
         "transactions", "amounts", "cents", "squares_high", "squares_low",
         "customers", "score_sum", "scores", "high_value", "very_high_value",
     ]
-    return rollup.groupBy(*MERCHANT_DAY).agg(
+    day = rollup.groupBy(*MERCHANT_DAY).agg(
         *[F.sum(c).alias(c) for c in total],
         F.min("min_cents").alias("min_cents"),
         F.max("max_cents").alias("max_cents"),
         F.min("first_time").alias("first_time"),
         F.max("last_time").alias("last_time"),
         F.sort_array(F.collect_set("currency")).alias("currencies"),
-        F.sort_array(F.collect_set("location")).alias("locations"),
-        F.sort_array(F.collect_set(text.hour_label(F.col("transaction_hour")))).alias("hours"),
+        F.bit_or("hour_bits").alias("hour_bits"),
+        locations,
     )
+    day = day.withColumn("hours", F.transform(hours, text.hour_label)).drop("hour_bits")
+    return day.withColumn("location_count", F.size("locations")) if list_locations else day
 
 
 def customer_reach(df: DataFrame, customer_col: str = "customer_id") -> DataFrame:
@@ -91,8 +98,16 @@ def customer_reach(df: DataFrame, customer_col: str = "customer_id") -> DataFram
     return df.groupBy(*MERCHANT_DAY).agg(F.count_distinct(customer_col).alias("unique_customers"))
 
 
-def summary_from_day(day: DataFrame) -> DataFrame:
+def with_reach(day: DataFrame, reach: DataFrame) -> DataFrame:
+    """``merchant_day`` rows with their ``unique_customers``; a NULL key finds its like."""
+    other = reach.select(*[F.col(c).alias(f"_{c}") for c in MERCHANT_DAY], "unique_customers")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in MERCHANT_DAY]
+    return day.join(other, same).drop(*[f"_{c}" for c in MERCHANT_DAY])
+
+
+def summary_from_day(day: DataFrame, generated_at: Column | None = None) -> DataFrame:
     """The daily merchant summary as a projection of ``merchant_day``."""
+    now = F.current_timestamp() if generated_at is None else generated_at
     total, rows = F.col("cents"), F.col("amounts")
     deviation = money.sample_stddev(rows, total, F.col("squares_high"), F.col("squares_low"))
     return day.select(
@@ -108,12 +123,12 @@ def summary_from_day(day: DataFrame) -> DataFrame:
         "locations",
         F.col("hours").alias("active_hours"),
         F.size("currencies").alias("currency_count"),
-        F.size("locations").alias("location_count"),
+        "location_count",
         F.size("hours").alias("active_hour_count"),
         F.try_divide("score_sum", "scores").alias("avg_data_quality_score"),
         F.col("first_time").alias("first_transaction_time"),
         F.col("last_time").alias("last_transaction_time"),
-        F.current_timestamp().alias("summary_generated_at"),
+        now.alias("summary_generated_at"),
     )
 
 
@@ -150,10 +165,9 @@ def risk_grades(day: DataFrame, policy: RiskPolicy = DEFAULT_RISK) -> DataFrame:
     return scored.withColumn("risk_level", scoring.risk_level(F.col("risk_score"), policy))
 
 
-def risk_from_day(day: DataFrame, reach: DataFrame, policy: RiskPolicy = DEFAULT_RISK) -> DataFrame:
-    """Risk metrics from the two shared merchant-day frames; both are keyed alike."""
-    keyed = day.withColumn("unique_locations", F.size("locations").cast("bigint"))
-    return _scored(keyed.join(reach, MERCHANT_DAY), policy)
+def risk_from_day(day: DataFrame, policy: RiskPolicy = DEFAULT_RISK) -> DataFrame:
+    """Risk metrics as a projection of a merchant-day frame ``with_reach``."""
+    return _scored(day.withColumn("unique_locations", F.col("location_count").cast("bigint")), policy)
 
 
 def kpis_from_day(day: DataFrame) -> DataFrame:
@@ -167,7 +181,7 @@ def kpis_from_day(day: DataFrame) -> DataFrame:
         money.average(total, F.col("transactions")).alias("revenue_per_transaction"),
         F.col("customers").alias("customer_count"),
         money.average(total, F.col("customers")).alias("revenue_per_customer"),
-        F.size("locations").alias("active_locations"),
+        F.col("location_count").alias("active_locations"),
         F.size("hours").alias("operating_hours"),
         F.try_divide("score_sum", "scores").alias("data_quality_score"),
     )
@@ -178,7 +192,7 @@ def daily_merchant_summary(df: DataFrame, customer_col: str = "customer_id") ->
 
 
 def merchant_kpis(df: DataFrame, customer_col: str = "customer_id") -> DataFrame:
-    return kpis_from_day(merchant_day(activity_rollup(df, customer_col)))
+    return kpis_from_day(merchant_day(activity_rollup(df, customer_col), list_locations=False))
 
 
 def risk_metrics(
@@ -186,22 +200,27 @@ def risk_metrics(
 ) -> DataFrame:
     """Risk metrics in one pass over transactions that are not staged anywhere.
 
-    Same result as ``risk_from_day``, which reads its (staged) input twice.
+    Same result as ``risk_from_day``, which needs two frames. Rows are reduced per
+    customer and location first, so that only those are copied for the two distinct counts.
     """
     cents = F.col("_cents")
-    counted = (
+    visits = (
         _with_cents(df)
-        .groupBy(*MERCHANT_DAY)
+        .groupBy(*MERCHANT_DAY, F.col(customer_col).alias("_customer"), "location")
         .agg(
             F.count("transaction_id").alias("transactions"),
             F.sum(cents).alias("cents"),
             F.max(cents).alias("max_cents"),
             _cents_above(cents, policy.high_value).alias("high_value"),
             _cents_above(cents, policy.very_high_value).alias("very_high_value"),
-            F.count_distinct("location").alias("unique_locations"),
-            F.count_distinct(customer_col).alias("unique_customers"),
         )
     )
+    counted = visits.groupBy(*MERCHANT_DAY).agg(
+        *[F.sum(c).alias(c) for c in ("transactions", "cents", "high_value", "very_high_value")],
+        F.max("max_cents").alias("max_cents"),
+        F.count_distinct("location").alias("unique_locations"),
+        F.count_distinct("_customer").alias("unique_customers"),
+    )
     return _scored(counted, policy)
 
 
@@ -230,10 +249,6 @@ def hourly_patterns(df: DataFrame) -> DataFrame:
     return _breakdown(_measured(df, HOURLY_KEYS), HOURLY_KEYS, "hourly")
 
 
-def hourly_from_rollup(rollup: DataFrame) -> DataFrame:
-    return _breakdown(_refolded(rollup, HOURLY_KEYS), HOURLY_KEYS, "hourly")
-
-
 def currency_breakdown(df: DataFrame) -> DataFrame:
     return _breakdown(_measured(df, CURRENCY_KEYS), CURRENCY_KEYS, "currency")
 
@@ -245,17 +260,21 @@ def currency_from_rollup(rollup: DataFrame) -> DataFrame:
 def comprehensive_summary(
     valid: DataFrame,
     rollup: DataFrame | None = None,
+    day: DataFrame | None = None,
     customer_col: str = "customer_id",
     policy: RiskPolicy = DEFAULT_RISK,
+    generated_at: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """All summaries by name. Pass a stored ``rollup`` so that they share one pass over ``valid``."""
+    """All summaries by name. Pass the stored ``rollup`` and ``day`` (``merchant_day`` with
+    ``with_reach``) of these rows, so that one fold serves the three merchant-day tables."""
     if rollup is None:
         rollup = activity_rollup(valid, customer_col, policy)
-    day = merchant_day(rollup)
+    if day is None:
+        day = with_reach(merchant_day(rollup), customer_reach(valid, customer_col))
     return {
-        "daily_merchant_summary": summary_from_day(day),
-        "risk_metrics": risk_from_day(day, customer_reach(valid, customer_col), policy),
-        "hourly_patterns": hourly_from_rollup(rollup),
+        "daily_merchant_summary": summary_from_day(day, generated_at),
+        "risk_metrics": risk_from_day(day, policy),
+        "hourly_patterns": hourly_patterns(valid),
         "currency_breakdown": currency_from_rollup(rollup),
         "merchant_kpis": kpis_from_day(day),
     }

@@ -2,8 +2,9 @@
 
 Raw data is read and shuffled once. The flagged, masked transactions are written to the
 shared scratch folder; every output and every count starts from that columnar copy, so
-none of them parses the input or repeats the dedup. Card numbers never reach a disk: they
-are masked before the copy is written.
+none of them parses the input or repeats the dedup. Cards are masked before that copy is
+written, so no table holds a full number. The shuffle files of the dedup do, since the
+choice of the row that stays compares it: encrypt them with ``spark.io.encryption.enabled``.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
 from tallyhouse.operators import masking, metrics
 from tallyhouse.operators.validation import flag_transactions, validation_error_text
 from tallyhouse.schema import IS_CORRUPT
-from tallyhouse.session import require_utc, size_shuffles
+from tallyhouse.session import require_ansi, require_utc, size_shuffles
 from tallyhouse.sinks import files, outputs
 from tallyhouse.sinks.jdbc import write_jdbc
 from tallyhouse.sinks.outputs import OutputTarget
@@ -64,13 +65,32 @@ def processed_rows(valid: DataFrame, salt: str | None = None, separator: str = "
     return hashed.drop("customer_id")
 
 
-def run_counts(staged: DataFrame) -> dict[str, int]:
-    counts = staged.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("raw"),
-        F.count_if("is_valid").alias("valid"),
-        F.count_if(~F.col("is_valid")).alias("invalid"),
-    )
-    return counts.first().asDict()
+def run_counts(quality: DataFrame) -> dict[str, int]:
+    """The figures of the run log, from the quality row of the day."""
+    names = ("raw", "valid", "invalid")
+    return quality.select(*[F.col(f"{n}_transactions").alias(n) for n in names]).first().asDict()
+
+
+class DatabaseError(RuntimeError):
+    """One or more tables that the database refused; the others were sent."""
+
+
+def send_to_database(spark: SparkSession, target: OutputTarget, day: str, tables: Sequence[contracts.Contract]) -> None:
+    """Append the day's committed partitions, so that nothing is computed again or differs.
+
+    Every table is tried before the failures are raised together.
+    """
+    failures = []
+    for contract in tables:
+        stored = outputs.read_output(spark, target, contract).filter(F.col(files.DAY) == day).drop(files.DAY)
+        try:
+            write_jdbc(outputs.database_shape(stored, contract), target.jdbc, outputs.database_table(contract))
+        except Exception as error:
+            log.warning("the database refused %s: %s", contract.table, type(error).__name__)
+            failures.append((contract.table, error))
+    if failures:
+        described = "; ".join(f"{name}: {_described(error)}" for name, error in failures)
+        raise DatabaseError(described) from failures[0][1]
 
 
 def _described(error: Exception) -> str:
@@ -95,18 +115,21 @@ def process_transactions(
     """
     spark = raw.sparkSession
     require_utc(spark)
+    require_ansi(spark)
     day = str(processing_date)
     run = Run(dt.date.fromisoformat(day), pipeline_mode)
     record_run(spark, target, run)
     status, scratch = "FAILED", []
     try:
-        size_shuffles(raw)
         flagged = flag_transactions(raw, rules, order_by, copies_col=COPIES)
         staged, path = files.stage(hide_cards(flagged), "flagged", ["is_valid"])
         scratch.append(path)
 
         size_shuffles(staged)
-        counts = run_counts(staged)
+        quality = metrics.data_quality_summary(staged, copies_col=COPIES)
+        quality, path = files.stage(quality, "quality")
+        scratch.append(path)
+        counts = run_counts(quality)
         run = replace(
             run,
             records_processed=counts["raw"],
@@ -119,8 +142,11 @@ def process_transactions(
         invalid = staged.filter(~F.col("is_valid")).withColumn("created_at", created)
         rollup, path = files.stage(metrics.activity_rollup(valid, policy=policy), "rollup")
         scratch.append(path)
+        reach = metrics.customer_reach(valid)
+        by_day, path = files.stage(metrics.with_reach(metrics.merchant_day(rollup), reach), "merchant-day")
+        scratch.append(path)
 
-        summaries = metrics.comprehensive_summary(valid, rollup, policy=policy)
+        summaries = metrics.comprehensive_summary(valid, rollup, by_day, policy=policy, generated_at=created)
         from_valid = {contracts.PROCESSED: processed_rows(valid, salt, separator)} | {
             contracts.SUMMARY_CONTRACTS[name]: frame for name, frame in summaries.items()
         }
@@ -129,7 +155,6 @@ def process_transactions(
             empty.add(contracts.INVALID)
         status = "PARTIAL"
         tables = outputs.write_tables({**from_valid, contracts.INVALID: invalid}, target, day, empty)
-        quality = metrics.data_quality_summary(staged, copies_col=COPIES)
         seconds = run.ended("SUCCESS").duration_seconds
         errors = validation_error_text(staged).scalar()
         tables[contracts.QUALITY_REPORTS] = outputs.write_quality_report(
@@ -137,9 +162,7 @@ def process_transactions(
         )
 
         if target.jdbc:
-            for contract, frame in tables.items():
-                shaped = outputs.database_shape(frame, contract)
-                write_jdbc(shaped, target.jdbc, outputs.database_table(contract))
+            send_to_database(spark, target, day, list(tables))
         record_run(spark, target, run.ended("SUCCESS"))
     except Exception as error:
         record_run(spark, target, run.ended(status, _described(error)))
@@ -175,15 +198,9 @@ def process_day(
 
 
 def processing_report(result: RunResult) -> str:
-    """The run in figures; never any row contents."""
-    return "\n".join(
-        [
-            f"Processing date:      {result.processing_date}",
-            f"Raw transactions:     {result.raw_count:,}",
-            f"Repeats removed:      {result.repeats_removed:,}",
-            f"Valid transactions:   {result.valid_count:,}",
-            f"Invalid transactions: {result.invalid_count:,}",
-            f"Data quality:         {result.data_quality_percentage:.2f}%",
-            f"Summaries generated:  {result.summaries_generated}",
-        ]
+    """The run in one line of figures; never any row contents."""
+    read, kept, bad = result.raw_count, result.valid_count, result.invalid_count
+    return (
+        f"{result.processing_date}: read {read}, dropped {result.repeats_removed} repeats, stored {kept} valid "
+        f"({result.data_quality_percentage:.2f} % of those read) and {bad} invalid rows, {result.summaries_generated} summary tables"
     )

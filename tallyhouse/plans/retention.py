@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import contracts
 from tallyhouse.operators.reports import expired, retained
 from tallyhouse.sinks import files, outputs
 from tallyhouse.sinks.outputs import OutputTarget
-from tallyhouse.sinks.run_log import read_run_log, utc_now
+from tallyhouse.sinks.run_log import STARTED, read_run_log, utc_now
 
 
 def _utc_text(now: dt.datetime) -> str:
@@ -50,7 +50,21 @@ def cleanup_old_data(
         if day["expired"] == day["rows"]:
             files.drop_path(spark, f"{path}/{files.DAY}={day[files.DAY]}")
 
-    runs = read_run_log(spark, target).filter(old).select("run_id").collect()
-    for run in runs:
-        files.drop_path(spark, f"{target.path(contracts.RUN_LOG)}/run={run['run_id']}")
-    return {contract.table: sum(d["expired"] for d in days), contracts.RUN_LOG.table: len(runs)}
+    dropped = _drop_expired_runs(spark, target, old)
+    return {contract.table: sum(d["expired"] for d in days), contracts.RUN_LOG.table: dropped}
+
+
+def _drop_expired_runs(spark: SparkSession, target: OutputTarget, old: Column) -> int:
+    """Drop the run log's expired days as folders; only the day the limit falls in is looked into."""
+    log_path = target.path(contracts.RUN_LOG)
+    days = read_run_log(spark, target).groupBy(STARTED).agg(F.count_if(old).alias("expired"), F.count(F.lit(1)).alias("rows"))
+    days = days.filter("expired > 0").collect()
+    for day in days:
+        folder = f"{log_path}/{STARTED}={day[STARTED]}"
+        if day["expired"] == day["rows"]:
+            files.drop_path(spark, folder)
+            continue
+        runs = read_run_log(spark, target).filter((F.col(STARTED) == F.lit(day[STARTED])) & old).select("run_id").collect()
+        for run in runs:
+            files.drop_path(spark, f"{folder}/run={run['run_id']}")
+    return sum(day["expired"] for day in days)

@@ -20,7 +20,8 @@ TRANSACTION_SCHEMA = T.StructType(
 
 # The trailing Z is a quoted literal, so the reader takes the text as wall-clock
 # time; sources pin the zone to UTC to make the instant right as well.
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
+WRITTEN_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 CORRUPT_RECORD = "_corrupt_record"
 IS_CORRUPT = "is_corrupt"

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the job relies on; pass them to the session builder or spark-submit.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -35,9 +38,14 @@ def require_utc(spark: SparkSession) -> None:
         raise RuntimeError(f"the session time zone is {zone}: set spark.sql.session.timeZone to UTC")
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """Without ANSI arithmetic an overflowing sum wraps around and yields a wrong total."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true: sums of money must not wrap around")
+
+
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITION_BYTES = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
 UNKNOWN_BYTES = 1 << 62  # Spark's stand-in for "size not known" is the largest bigint
 
 
@@ -56,12 +64,12 @@ def size_shuffles(df: DataFrame) -> int:
 
     Adaptive execution merges partitions that turn out small but never splits large
     ones, so the count it starts from has to suit the data: one partition per 256 MB
-    read, at least the session's own setting and at most 50,000. Call it before an
-    action; it holds for the session until it is called again. Returns the count.
+    read, and at least the session's own setting. Call it before an action; it holds for
+    the session until it is called again. Returns the count.
     """
     spark = df.sparkSession
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-input_bytes(df) // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    wanted = -(-input_bytes(df) // SHUFFLE_PARTITION_BYTES)
     if wanted > floor:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
         return wanted
@@ -69,6 +77,20 @@ def size_shuffles(df: DataFrame) -> int:
     return floor
 
 
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[int]:
+    """``size_shuffles`` for one action; the session gets its own setting back."""
+    spark = df.sparkSession
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        yield size_shuffles(df)
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder for intermediate tables, reachable from every executor.
 

@@ -9,22 +9,23 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.schema import TIMESTAMP_FORMAT
-from tallyhouse.session import hadoop_path, scratch_path
+from tallyhouse.schema import TIMESTAMP_FORMAT, WRITTEN_TIMESTAMP_FORMAT
+from tallyhouse.session import hadoop_path, scratch_path, sized_shuffles
 
 FORMATS = ("parquet", "json")
 DAY = "date"
 
 
-def _writer(df: DataFrame, mode: str, rebalance: bool) -> DataFrameWriter:
-    """``rebalance`` evens out file sizes at the price of one shuffle."""
-    return (df.hint("rebalance") if rebalance else df).write.mode(mode)
+def _writer(df: DataFrame, mode: str, columns: Sequence[str] | None, rebalance: bool | None) -> DataFrameWriter:
+    """``rebalance`` evens out file sizes at the price of one shuffle.
 
-
-def _partitioned(writer: DataFrameWriter, columns: Sequence[str] | None) -> DataFrameWriter:
-    if not columns:
-        return writer
-    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns)
+    By default it is done for partitioned writes, where each task would else leave a file in
+    every partition: rows of one partition go to few tasks, and AQE splits a large one again.
+    """
+    if rebalance or (rebalance is None and columns):
+        df = df.hint("rebalance", *(columns or ()))
+    writer = df.write.mode(mode)
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns) if columns else writer
 
 
 def write_parquet(
@@ -32,10 +33,10 @@ def write_parquet(
     path: str,
     partition_cols: Sequence[str] | None = None,
     mode: str = "overwrite",
-    rebalance: bool = False,
+    rebalance: bool | None = None,
 ) -> None:
     """With ``partition_cols``, an overwrite replaces only the partitions present in ``df``."""
-    _partitioned(_writer(df, mode, rebalance), partition_cols).parquet(path)
+    _writer(df, mode, partition_cols, rebalance).parquet(path)
 
 
 def write_json(
@@ -43,11 +44,11 @@ def write_json(
     path: str,
     partition_cols: Sequence[str] | None = None,
     mode: str = "overwrite",
-    rebalance: bool = False,
+    rebalance: bool | None = None,
 ) -> None:
-    """JSON Lines; times as UTC, in the same format the reader expects."""
-    writer = _partitioned(_writer(df, mode, rebalance), partition_cols)
-    writer.option("timestampFormat", TIMESTAMP_FORMAT).option("timeZone", "UTC").json(path)
+    """JSON Lines; times as UTC with microseconds, which the reader accepts like whole seconds."""
+    writer = _writer(df, mode, partition_cols, rebalance)
+    writer.option("timestampFormat", WRITTEN_TIMESTAMP_FORMAT).option("timeZone", "UTC").json(path)
 
 
 def _check_format(fmt: str) -> None:
@@ -62,9 +63,9 @@ def replace_days(df: DataFrame, table_path: str, fmt: str = "parquet") -> None:
     the old partitions.
     """
     _check_format(fmt)
-    writer = _partitioned(df.write.mode("overwrite"), [DAY])
+    writer = _writer(df, "overwrite", [DAY], None)
     if fmt == "json":
-        writer = writer.option("timestampFormat", TIMESTAMP_FORMAT).option("timeZone", "UTC")
+        writer = writer.option("timestampFormat", WRITTEN_TIMESTAMP_FORMAT).option("timeZone", "UTC")
     writer.format(fmt).save(table_path)
 
 
@@ -115,7 +116,8 @@ def stage(df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> tuple
     writer = df.write.mode("errorifexists")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
+    with sized_shuffles(df):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

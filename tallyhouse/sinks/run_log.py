@@ -14,6 +14,9 @@ from tallyhouse.sinks import files
 from tallyhouse.sinks.outputs import OutputTarget
 
 
+STARTED = "started"
+
+
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
 
@@ -48,9 +51,10 @@ def record_run(spark: SparkSession, target: OutputTarget, run: Run) -> None:
         "created_at": run.start_time,
     }
     row = spark.range(1, numPartitions=1).select(*[F.lit(value).alias(name) for name, value in state.items()])
-    contract.enforce(row).write.mode("overwrite").parquet(f"{target.path(contract)}/run={run.run_id}")
+    folder = f"{target.path(contract)}/{STARTED}={run.start_time:%Y-%m-%d}"
+    contract.enforce(row).write.mode("overwrite").parquet(f"{folder}/run={run.run_id}")
 
 
 def read_run_log(spark: SparkSession, target: OutputTarget) -> DataFrame:
     contract = contracts.RUN_LOG
-    return files.read_table(spark, target.path(contract), contract.schema, partition=None)
+    return files.read_table(spark, target.path(contract), contract.schema, partition=STARTED)

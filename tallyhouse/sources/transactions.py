@@ -95,7 +95,8 @@ def landed_between(start: dt.date | str, end: dt.date | str, slack_days: int) ->
     slack = dt.timedelta(days=slack_days)
     first = dt.date.fromisoformat(str(start)) - slack
     last = dt.date.fromisoformat(str(end)) + slack
-    return F.make_date(*PARTITION_COLUMNS).between(F.lit(first), F.lit(last))
+    landed = F.make_date(*PARTITION_COLUMNS)
+    return landed.isNull() | landed.between(F.lit(first), F.lit(last))
 
 
 def read_date_range(
@@ -103,13 +104,14 @@ def read_date_range(
     root: str,
     start: dt.date | str,
     end: dt.date | str,
-    slack_days: int | None = 1,
+    slack_days: int | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
     """Transactions whose timestamp lies in the range, end day included.
 
-    Folders dated more than ``slack_days`` outside the range are not read. That is exact
-    as long as no record lands later than that; ``slack_days=None`` reads every folder.
+    Every folder is read, since a record may land long after its timestamp. Where that is
+    known not to happen, ``slack_days`` skips the folders dated further outside the range;
+    folders without a date are still read.
     """
     df = read_transactions(spark, root, multi_line)
     if slack_days is not None and all(c in df.columns for c in PARTITION_COLUMNS):

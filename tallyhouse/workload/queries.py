@@ -37,7 +37,7 @@ def query(function: Query) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        result = function(spark, folder)
+        result = function(spark, folder)  # stages size their own shuffles
         size_shuffles(result)
         return result
 
@@ -343,10 +343,11 @@ def merchant_kpis(spark, folder):
 
 def _staged_summaries(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All summaries from one pass: valid rows and their rollup are stored once."""
-    needed = ["transaction_id", "customer_id", "amount", "timestamp", "completeness_score", *metrics.ROLLUP_KEYS]
-    valid, _ = files.stage(_valid(spark, folder).select(*needed), "valid")
+    needed = ["transaction_id", "customer_id", "amount", "timestamp", "completeness_score", "transaction_hour"]
+    valid, _ = files.stage(_valid(spark, folder).select(*needed, *metrics.ROLLUP_KEYS), "valid")
     rollup, _ = files.stage(metrics.activity_rollup(valid), "rollup")
-    return metrics.comprehensive_summary(valid, rollup)
+    day, _ = files.stage(metrics.with_reach(metrics.merchant_day(rollup), metrics.customer_reach(valid)), "merchant-day")
+    return metrics.comprehensive_summary(valid, rollup, day)
 
 
 # The transaction count column of each summary.
@@ -386,9 +387,8 @@ def data_quality_summary(spark, folder):
 
 @query
 def merchant_performance_overview(spark, folder):
-    """Both sides of the join come from one stored rollup; neither repeats the dedup."""
-    rollup, _ = files.stage(metrics.activity_rollup(_valid(spark, folder)), "rollup")
-    day = metrics.merchant_day(rollup)
+    """Both sides of the join are projections of one stored merchant-day frame."""
+    day, _ = files.stage(metrics.merchant_day(metrics.activity_rollup(_valid(spark, folder))), "merchant-day")
     return reports.merchant_performance_overview(metrics.summary_from_day(day), metrics.risk_grades(day))
 
 

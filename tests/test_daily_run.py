@@ -49,7 +49,7 @@ def test_result(done):
     assert (result.raw_count, result.valid_count, result.invalid_count, result.summaries_generated) == (1000, 800, 180, 5)
     assert result.data_quality_percentage == pytest.approx(80.0)
     report = daily_run.processing_report(result)
-    assert "Raw transactions:     1,000" in report and "80.00%" in report
+    assert "read 1000" in report and "800 valid (80.00 %" in report and "180 invalid" in report
     assert result.repeats_removed == 20
 
 
@@ -177,13 +177,17 @@ def test_relational_copies(spark, tmp_path, monkeypatch):
 
 
 def test_a_failed_relational_copy_is_partial(spark, tmp_path, monkeypatch):
-    def refuse(self, **_):
+    tried = []
+
+    def refuse(self, table, **_):
+        tried.append(table)
         raise ConnectionError("no database")
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", refuse)
     target = OutputTarget(str(tmp_path), jdbc=JdbcTarget("jdbc:x://host/db"))
-    with pytest.raises(ConnectionError):
+    with pytest.raises(daily_run.DatabaseError, match="processed_transactions.*summary_risk_metrics|risk_metrics"):
         daily_run.process_transactions(transactions(spark, {}), target, DAY)
+    assert len(tried) == 8  # a refusal does not keep the other tables from being sent
     assert read_run_log(spark, target).first().status == "PARTIAL"
     assert outputs.read_output(spark, target, contracts.PROCESSED).count() == 1
 

@@ -126,7 +126,7 @@ def test_results_do_not_depend_on_partitioning(busy):
 
 
 def test_rows_meet_per_merchant_day_only_after_the_rollup(busy):
-    """The exchange below the merchant-day one is keyed on all five rollup columns."""
+    """The exchange below the merchant-day one is keyed on all four rollup columns."""
     plan = metrics.daily_merchant_summary(busy)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line][:2]
     assert "location" not in exchanges[0] and "location" in exchanges[1]
@@ -134,6 +134,21 @@ def test_rows_meet_per_merchant_day_only_after_the_rollup(busy):
     assert "HashAggregate" in below and "ObjectHashAggregate" not in below
 
 
+def test_risk_counts_copy_only_reduced_rows(busy):
+    """The two distinct counts expand rows; below them customers and locations are reduced already."""
+    plan = metrics.risk_metrics(busy)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Expand") :]
+    assert "Expand" not in below[6:] and "HashAggregate" in below and "_customer" in below.split("Exchange")[0]
+
+
+def test_both_forms_of_risk_keep_rows_without_a_merchant(spark):
+    df = transactions(spark, {}, {"transaction_id": "t2", "merchant_id": None}, {"transaction_id": "t3", "merchant_id": None})
+    valid = V.flag_transactions(df)
+    day = metrics.with_reach(metrics.merchant_day(metrics.activity_rollup(valid)), metrics.customer_reach(valid))
+    shared, direct = metrics.risk_from_day(day), metrics.risk_metrics(valid)
+    assert same(shared, direct) and direct.where("merchant_id is null").first().transaction_velocity == 2
+
+
 def test_quality_percentages(spark):
     df = transactions(spark, {}, {}, {"transaction_id": "t2"}, {"transaction_id": "t3", "amount": None})
     row = metrics.data_quality_summary(V.flag_transactions(df, copies_col="copies")).first()

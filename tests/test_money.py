@@ -58,3 +58,12 @@ def test_cents_round_half_up(spark):
 def test_overflow_raises(spark):
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CANNOT_CHANGE_DECIMAL|overflow"):
         one(spark, money.from_cents(F.lit(10**16).cast("bigint"), money.AVERAGE))
+
+
+def test_deviation_of_amounts_above_thirty_million(spark):
+    cents = [5_000_000_000, 6_000_000_000, 100]
+    df = spark.createDataFrame([(c,) for c in cents], "c bigint")
+    high, low = money.square_parts(F.col("c"))
+    sums = df.agg(F.count("c").alias("n"), F.sum("c").alias("s"), F.sum(high).alias("h"), F.sum(low).alias("l"))
+    found = sums.select(money.sample_stddev(F.col("n"), F.col("s"), F.col("h"), F.col("l"))).first()[0]
+    assert found == pytest.approx(statistics.stdev(cents) / 100, rel=1e-12)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tallyhouse import session
+from tallyhouse.sinks import files
 from tallyhouse.workload.queries import QUERIES
 
 # These write to the scratch folder while they are built; their parts are covered elsewhere.
@@ -28,12 +29,34 @@ def test_shuffles_grow_with_the_input(spark, small, monkeypatch):
     assert session.size_shuffles(events) == -(-session.input_bytes(events) // 1000) > floor
     grouped = events.groupBy("user_id").count()
     assert grouped.count() > 0
-    monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", 9)
-    assert session.size_shuffles(events) == 9
-    assert spark.conf.get(session.INITIAL_PARTITIONS) == "9"
+    spark.conf.set(session.INITIAL_PARTITIONS, "7")
+    with session.sized_shuffles(events) as wanted:
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == str(wanted)
+    assert spark.conf.get(session.INITIAL_PARTITIONS) == "7"
     spark.conf.unset(session.INITIAL_PARTITIONS)
 
 
+def test_staging_sizes_its_own_shuffles(spark, small, monkeypatch):
+    events = spark.read.parquet(f"{small}/events.parquet")
+    monkeypatch.setattr(session, "SHUFFLE_PARTITION_BYTES", 1000)
+    seen = []
+    sized = session.size_shuffles
+    monkeypatch.setattr(session, "size_shuffles", lambda df: seen.append(sized(df)) or seen[-1])
+    files.stage(events.groupBy("user_id").count(), "sized")
+    assert seen == [-(-session.input_bytes(events) // 1000)]
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
+def test_arithmetic_that_wraps_is_refused(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            session.require_ansi(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    session.require_ansi(spark)
+
+
 class Context:
     master = "yarn"
 

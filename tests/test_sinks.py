@@ -43,6 +43,21 @@ def test_json_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_json_keeps_fractions_of_a_second(spark, tmp_path):
+    times = ["2025-06-24 00:54:29.123456", "2025-06-24 00:54:29"]
+    df = transactions(spark, *[{"transaction_id": str(i)} for i in range(2)])
+    df = df.withColumn("timestamp", F.when(F.col("transaction_id") == "0", times[0]).otherwise(times[1]).cast("timestamp"))
+    files.write_json(df, str(tmp_path / "j"))
+    back = read_transactions(spark, str(tmp_path / "j"), multi_line=False)
+    assert [str(r.timestamp) for r in back.orderBy("transaction_id").collect()] == [times[0], times[1]]
+
+
+def test_partitioned_writes_leave_few_files(spark, tmp_path):
+    df = spark.range(800).repartition(8).selectExpr("id", "concat('2025-06-', 10 + id % 10) AS date")
+    files.write_parquet(df, str(tmp_path / "t"), ["date"])
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 10
+
+
 @pytest.mark.parametrize("fmt", files.FORMATS)
 def test_replacing_a_day(spark, tmp_path, fmt):
     path, schema = str(tmp_path / "t"), spark.range(1).schema

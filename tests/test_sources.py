@@ -123,12 +123,13 @@ def test_date_range_skips_folders(spark, landing):
     assert ids(df) == ["e", "f"]
 
 
-def test_late_records_need_slack(spark, landing, tmp_path):
+def test_late_records_are_read_unless_pruning_is_asked_for(spark, landing, tmp_path):
     put(tmp_path / "raw/year=2025/month=06/day=25/late.json", record(transaction_id="late", timestamp="2025-06-24T10:00:00Z"))
     assert "late" in ids(S.read_date_range(spark, landing, "2025-06-24", "2025-06-24"))
     assert "late" not in ids(S.read_date_range(spark, landing, "2025-06-24", "2025-06-24", slack_days=0))
+    assert "late" in ids(S.read_date_range(spark, landing, "2025-06-24", "2025-06-24", slack_days=1))
     put(tmp_path / "raw/year=2025/month=07/day=25/later.json", record(transaction_id="later", timestamp="2025-06-24T10:00:00Z"))
-    assert "later" in ids(S.read_date_range(spark, landing, "2025-06-24", "2025-06-24", slack_days=None))
+    assert "later" in ids(S.read_date_range(spark, landing, "2025-06-24", "2025-06-24"))
 
 
 def test_range_on_a_stored_column_reaches_the_scan(spark, small):
