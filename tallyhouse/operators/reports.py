@@ -80,6 +80,18 @@ def data_quality_monitoring(reports: DataFrame) -> DataFrame:
     ).orderBy(F.desc("processing_date"))
 
 
+# What the report of one merchant shows.
+MERCHANT_SUMMARY_COLUMNS = (
+    *MERCHANT_DAY,
+    "total_transactions",
+    "total_amount",
+    "avg_transaction_amount",
+    "total_customers",
+    "currency_count",
+    "location_count",
+)
+
+
 def get_merchant_summary(
     summary: DataFrame, merchant_id: str, start: dt.date | str, end: dt.date | str
 ) -> DataFrame:
@@ -87,15 +99,7 @@ def get_merchant_summary(
     first, last = (F.lit(str(d)).cast("date") for d in (start, end))
     return (
         summary.filter((F.col("merchant_id") == merchant_id) & F.col("transaction_date").between(first, last))
-        .select(
-            *MERCHANT_DAY,
-            "total_transactions",
-            "total_amount",
-            "avg_transaction_amount",
-            "total_customers",
-            "currency_count",
-            "location_count",
-        )
+        .select(*MERCHANT_SUMMARY_COLUMNS)
         .orderBy("transaction_date")
     )
 

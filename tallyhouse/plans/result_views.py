@@ -35,4 +35,14 @@ def register_views(spark: SparkSession, target: OutputTarget) -> dict[str, DataF
     views["data_quality_monitoring"] = reports.data_quality_monitoring(views[contracts.QUALITY_REPORTS.table])
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
+    # The parametrised report, for SQL text: SELECT * FROM get_merchant_summary('m', DATE'…', DATE'…').
+    columns = reports.MERCHANT_SUMMARY_COLUMNS
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION get_merchant_summary(merchant STRING, first_day DATE, last_day DATE)
+        RETURNS TABLE RETURN
+        SELECT {", ".join(columns)} FROM {outputs.database_table(contracts.DAILY_MERCHANT_SUMMARY)}
+        WHERE merchant_id = merchant AND transaction_date BETWEEN first_day AND last_day
+        """
+    )
     return views

@@ -380,6 +380,37 @@ ORACLES: dict[str, str] = {
             DATE '2024-01-30' AS date FROM valid"""
     ),
     "daily_job_risk": _from_valid("SELECT *, DATE '2024-01-30' AS date FROM risk", _RISK),
+    "daily_job_summary": _from_valid(
+        """SELECT * REPLACE (CAST(std_transaction_amount AS DECIMAL(10,2)) AS std_transaction_amount,
+            CAST(avg_data_quality_score AS DECIMAL(3,2)) AS avg_data_quality_score), DATE '2024-01-30' AS date FROM daily""",
+        _DAILY,
+    ),
+    "daily_job_hourly": _from_valid("SELECT *, DATE '2024-01-30' AS date FROM hourly", _HOURLY),
+    "daily_job_currency": _from_valid("SELECT *, DATE '2024-01-30' AS date FROM by_currency", _CURRENCY),
+    "daily_job_kpis": _from_valid(
+        """SELECT * REPLACE (CAST(data_quality_score AS DECIMAL(3,2)) AS data_quality_score), DATE '2024-01-30' AS date
+        FROM kpis""",
+        _KPIS,
+    ),
+    "daily_job_invalid": _from_flagged(
+        f"""SELECT transaction_id, merchant_id, {_MASK} AS card_number_masked, CAST(amount AS DOUBLE) AS amount, currency,
+            timestamp, customer_id, location, transaction_date, validation_errors, DATE '2024-01-30' AS date
+        FROM flagged WHERE NOT is_valid"""
+    ),
+    "daily_job_quality": _from_flagged(
+        f"SELECT DATE '2024-01-30' AS processing_date, {_QUALITY}, DATE '2024-01-30' AS date FROM flagged"
+    ),
+    "daily_job_run_log": _from_flagged(
+        """SELECT DATE '2024-01-30' AS processing_date, 'batch' AS pipeline_mode, 'SUCCESS' AS status,
+            CAST(sum(copies) AS BIGINT) AS records_processed, count(*) FILTER (WHERE is_valid) AS records_valid,
+            count(*) FILTER (WHERE NOT is_valid) AS records_invalid
+        FROM flagged"""
+    ),
+    "json_fractional_times": _from_raw(
+        """SELECT transaction_id, timestamp + to_microseconds(ingest_seq * 7919 % 1000000) AS timestamp FROM raw"""
+    ),
+    "data_availability": """SELECT 'landed' AS place, count(*) > 0 AS available FROM events
+        UNION ALL SELECT 'missing', false""",
     "daily_job_views": _from_valid(
         """SELECT transaction_date, volume_category, risk_level, count(*) AS merchants,
             CAST(sum(total_transactions) AS BIGINT) AS transactions

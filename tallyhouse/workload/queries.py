@@ -120,6 +120,25 @@ def json_date_range(spark, folder):
     return _naive_times(raw.select(*TRANSACTION_FIELDS), "timestamp")
 
 
+@query
+def json_fractional_times(spark, folder):
+    """Times with microseconds, written as JSON and read back."""
+    raw = _raw(spark, folder).withColumn("timestamp", F.expr("timestampadd(MICROSECOND, ingest_seq * 7919 % 1000000, timestamp)"))
+    path = scratch_path(spark, "fractions")
+    files.write_json(raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA]), path)
+    back = transactions.read_transactions(spark, path, multi_line=False)
+    return _naive_times(back.select("transaction_id", "timestamp"), "timestamp")
+
+
+@query
+def data_availability(spark, folder):
+    """Whether there are records: in the landing folder, and in one that does not exist."""
+    root = _landed_json(spark, folder)
+    places = [("landed", root), ("missing", f"{root}-missing")]
+    found = [(name, transactions.data_available(spark, path, multi_line=False)) for name, path in places]
+    return spark.createDataFrame(found, "place string, available boolean")
+
+
 # Cleaning
 
 
@@ -446,6 +465,46 @@ def daily_job_risk(spark, folder):
     return _finished_job(spark, folder)["summary_risk_metrics"]
 
 
+@query
+def daily_job_summary(spark, folder):
+    stored = _finished_job(spark, folder)["summary_daily_merchant_summary"].drop("summary_generated_at")
+    readable = _joined(stored, "currencies_used", "locations", "active_hours")
+    return _naive_times(readable, "first_transaction_time", "last_transaction_time")
+
+
+@query
+def daily_job_hourly(spark, folder):
+    return _finished_job(spark, folder)["summary_hourly_patterns"]
+
+
+@query
+def daily_job_currency(spark, folder):
+    return _finished_job(spark, folder)["summary_currency_breakdown"]
+
+
+@query
+def daily_job_kpis(spark, folder):
+    return _finished_job(spark, folder)["summary_merchant_kpis"]
+
+
+@query
+def daily_job_invalid(spark, folder):
+    stored = _finished_job(spark, folder)["invalid_transactions"].drop("created_at")
+    return _naive_times(_joined(stored, "validation_errors"), "timestamp")
+
+
+@query
+def daily_job_quality(spark, folder):
+    stored = _finished_job(spark, folder)["data_quality_reports"]
+    return stored.drop("processing_duration_seconds", "errors_encountered", "created_at")
+
+
+@query
+def daily_job_run_log(spark, folder):
+    log = _finished_job(spark, folder)["pipeline_processing_logs"]
+    return log.select("processing_date", "pipeline_mode", "status", "records_processed", "records_valid", "records_invalid")
+
+
 @query
 def daily_job_views(spark, folder):
     """SQL text over the stored results of a run."""

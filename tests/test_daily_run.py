@@ -278,3 +278,11 @@ def test_command_line_needs_its_arguments():
         cli.parse_arguments(["--mode", "s3"])
     with pytest.raises(SystemExit):
         cli.parse_arguments(["--mode", "ftp", "--year", "1", "--month", "1", "--day", "1", "--raw", "a", "--out", "b"])
+
+
+def test_merchant_summary_as_a_table_function(spark, done):
+    target, _, _ = done
+    register_views(spark, target)
+    busiest = spark.sql("SELECT merchant_id, count(*) AS days FROM summary_daily_merchant_summary GROUP BY 1 ORDER BY 2 DESC, 1").first()
+    rows = spark.sql(f"SELECT * FROM get_merchant_summary('{busiest.merchant_id}', DATE'2024-01-01', DATE'2024-12-31')")
+    assert rows.count() == busiest.days and rows.columns[0] == "merchant_id"
