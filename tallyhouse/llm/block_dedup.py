@@ -114,7 +114,7 @@ def repeated_words(docs: DataFrame, window: int) -> DataFrame:
     asked = staged(hits(found), "block-hits")
     drop_staged(found)
     units = staged(units_at_hits(known, asked, window, block, gram), "block-units")
-    return Repeats(window, _cut, _symbols, (5, 1) if block > 5 else (1,), earlier=True).repeated(units, known)
+    return Repeats(window, _cut, _symbols, (5, 1) if block > 5 else (1,), earlier=True, symbol_bytes=8).repeated(units, known)
 
 
 def block_dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -98,7 +98,7 @@ class Repeats:
     """How units of one kind of text are read, refined and judged.
 
     ``cut`` takes stretches (start, length) of symbols out of a text, as bytes; ``symbols`` makes
-    symbol hashes of such bytes. ``sizes`` are the lengths of smaller units, ending with 1. With
+    symbol hashes of such bytes, one of every ``symbol_bytes``. ``sizes`` are the lengths of smaller units, ending with 1. With
     ``earlier`` a window is repeated if a row of a smaller id has it, else if it starts anywhere else.
     """
 
@@ -107,6 +107,7 @@ class Repeats:
     symbols: Callable[[bytes], np.ndarray]
     sizes: tuple[int, ...] = (10, 1)
     earlier: bool = False
+    symbol_bytes: int = 1
 
     def repeated(self, units: DataFrame, docs: DataFrame) -> DataFrame:
         """(id, h, start, count) of repeated windows, from staged ``units`` (id, h and the columns of a unit)."""
@@ -174,25 +175,33 @@ class Repeats:
         Units are cut at multiples of ``size`` from the anchor, which is at the same place wherever
         the core is the same. ``core`` covers the whole multiple even if the unit has part of it.
         """
-        window = self.window
-
-        def compute(row):
-            rolling = Rolling(self.symbols(row["content"]))
-            lo, n = row["start"], row["count"]
-            anchor = lo + row["shift"]
-            edges = np.arange(lo - (lo - anchor) % size, lo + n, size, dtype=np.int64)
-            start = np.maximum(edges, lo)
-            count = np.minimum(edges + size, lo + n) - start
-            shift = anchor - start
-            span = window - size + 1
-            core = mix(rolling.of(edges + (size - 1), span) + mix((edges - anchor + (1 << 24)).astype(np.uint64)))
-            full = covered(rolling, start, count, shift, window)
-            return core, full, start - row["start"], count, shift
+        window, names = self.window, ["owner", "id", *UNIT]
+
+        def compute(batches):
+            for batch in batches:
+                # All contents of a batch in a row: fingerprints do not depend on the place.
+                pieces = batch.column("content").to_pylist()
+                rolling = Rolling(self.symbols(b"".join(pieces)))
+                sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.symbol_bytes
+                base = np.cumsum(sizes) - sizes
+                lo, n, shift = (batch.column(c).to_numpy() for c in ("start", "count", "shift"))
+                anchor = lo + shift
+                first = lo - (lo - anchor) % size
+                parts = -((first - lo - n) // size)
+                row = np.repeat(np.arange(len(pieces)), parts)
+                edges = first[row] + size * (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts))
+                start = np.maximum(edges, lo[row])
+                count = np.minimum(edges + size, (lo + n)[row]) - start
+                apart = anchor[row] - start
+                place = mix((edges - anchor[row] + (1 << 24)).astype(np.uint64))
+                core = mix(rolling.of(base[row] + edges + (size - 1), window - size + 1) + place)
+                full = covered(rolling, base[row] + start, count, apart, window)
+                carried = [batch.column(c).take(pa.array(row)) for c in ("owner", "id")]
+                yield pa.RecordBatch.from_arrays([*carried, *longs(core, full, start - lo[row], count, apart)], names)
 
         kind = content.schema["id"].dataType.simpleString()
         schema = f"owner long, id {kind}, core long, full long, start long, count long, shift long"
-        owned = content.withColumnRenamed("full", "owner")
-        return owned.mapInArrow(lambda batches: per_document(batches, compute, UNIT, ["owner", "id"]), schema)
+        return content.withColumnRenamed("full", "owner").mapInArrow(compute, schema)
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
