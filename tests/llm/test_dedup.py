@@ -1,0 +1,185 @@
+"""Exact, near and passage deduplication against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tallyhouse.llm.block_dedup import block_dedup
+from tallyhouse.llm.common import connected_components
+from tallyhouse.llm.exact_dedup import drop_copies, exact_dedup
+from tallyhouse.llm.rolling import anchors, Rolling, mix, sliding_minimum
+from tallyhouse.llm.simhash import drop_near_duplicates, near_duplicates, simhash, simhash_components, shingle_hashes
+from tallyhouse.llm.suffix_dedup import suffix_dedup
+from tests.llm.fixtures import awkward, awkward_texts, empty
+
+
+def by_text(texts):
+    groups = defaultdict(list)
+    for key, text in texts:
+        groups[text or ""].append(key)
+    return groups
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_dedup(spark, weak):
+    """With a digest of one hex digit most groups collide, and full texts decide."""
+    digest = (lambda t: F.substring(F.sha2(t, 256), 1, 1)) if weak else None
+    docs = awkward(spark)
+    rows = (exact_dedup(docs, digest=digest) if weak else exact_dedup(docs)).collect()
+    largest = lambda keys: max((k for k in keys if k is not None), default=None)
+    groups = by_text(awkward_texts()).values()
+    expected = Counter((key, largest(keys), len(keys)) for keys in groups for key in keys)
+    assert Counter((r.id, r.keep_id, r.group_size) for r in rows) == expected
+    assert sum(r.kept for r in rows) == len(groups)
+    assert all(r.id == r.keep_id for r in rows if r.kept)
+
+
+def test_dropping_copies_keeps_one_row_of_each_text(spark):
+    docs = awkward(spark)
+    left = drop_copies(docs)
+    assert left.columns == docs.columns
+    groups = by_text(awkward_texts())
+    expected = {max((k for k in keys if k is not None), default=None) for keys in groups.values()}
+    assert Counter(r.doc_id for r in left.collect()) == Counter(expected)
+
+
+def test_exact_query_matches_its_oracle(spark, small):
+    from tallyhouse.llm.queries import ORACLES, QUERIES
+    from tests.compare import assert_same, connect
+
+    duck = connect(small)
+    assert_same(QUERIES["op1_exact_dedup"](spark, small), duck, ORACLES["op1_exact_dedup"])
+
+
+def test_fingerprint_is_the_majority_of_bits():
+    text = "The quick brown fox jumps over THE lazy dog again".encode()
+    words = text.lower().split()
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(len(words) - 2)]
+    assert shingle_hashes(text, 3).tolist() == hashes
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert simhash(shingle_hashes(text, 3))[0] % 2**64 == bits
+    assert simhash(shingle_hashes(b" \n", 3)) == [0]
+
+
+def components(fps: list[int], ids: list, linked) -> dict:
+    group = list(range(len(fps)))
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if linked(fps[i], fps[j]):
+                group[root(i)] = root(j)
+    least = {}
+    for i, key in enumerate(ids):
+        least[root(i)] = min((k for k in (least.get(root(i)), key) if k is not None), default=None)
+    return Counter((key, least[root(i)]) for i, key in enumerate(ids))
+
+
+def test_simhash_components(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.llm.simhash.BUCKET", 2)  # the crowded way as well
+    texts = awkward_texts() + [(100 + i, f"one two x{i // 9}") for i in range(30)]
+    rows = simhash_components(awkward(spark, texts)).collect()
+    fps = [simhash(shingle_hashes((t or "").encode(), 3))[0] % 2**64 for _, t in texts]
+    expected = components(fps, [k for k, _ in texts], lambda a, b: (a ^ b).bit_count() <= 2)
+    assert Counter((r.id, r.component) for r in rows) == expected
+
+
+@pytest.mark.parametrize("bucket", [2, 10**6])
+def test_close_links_miss_nothing(spark, monkeypatch, bucket):
+    from tallyhouse.llm.simhash import close_links
+
+    monkeypatch.setattr("tallyhouse.llm.simhash.BUCKET", bucket)
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 2**63, 12).tolist()
+    values = sorted({b ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in draw.integers(0, 63, (8, 2))} | set(base))
+    fps = spark.createDataFrame([([v],) for v in values], "fp array<long>")
+    links = close_links(fps, 2)
+    named = connected_components(fps.withColumnRenamed("fp", "node"), links).collect()
+    found = {r.node[0]: r.component[0] for r in named}
+    expected = components(values, values, lambda a, b: (a ^ b).bit_count() <= 2)
+    assert Counter(found.items()) == expected
+
+
+def jaccard(a: str | None, b: str | None) -> float:
+    sets = [set(shingle_hashes((t or "").encode(), 5).tolist()) for t in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
+def test_near_duplicates(spark):
+    texts = awkward_texts()
+    rows = near_duplicates(awkward(spark)).collect()
+    group = {(r.id): r.component for r in rows if r.id is not None}
+    for key, text in texts:
+        alike = [k for k, t in texts if k is not None and jaccard(text, t) >= 0.8]
+        if key is not None:
+            assert group[key] == min(alike)
+    left = drop_near_duplicates(awkward(spark))
+    assert {r.doc_id for r in left.collect()} >= set(group.values())
+
+
+def removed(symbols: list, window: int, gone) -> np.ndarray:
+    cover = np.zeros(len(symbols) + 1, int)
+    for p in range(len(symbols) - window + 1):
+        if gone(tuple(symbols[p : p + window])):
+            cover[p] += 1
+            cover[p + window] -= 1
+    return np.cumsum(cover)[:-1] > 0
+
+
+@pytest.mark.parametrize("length", [200, 24])
+def test_suffix_dedup(spark, length):
+    texts = awkward_texts()
+    seen = Counter(t.encode()[p : p + length] for _, text in texts for t in [text or ""] for p in range(len(t.encode()) - length + 1))
+    expected = Counter()
+    for key, text in texts:
+        data = (text or "").encode()
+        gone = removed(list(data), length, lambda w: seen[bytes(w)] > 1)
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
+        kept = bytes(np.frombuffer(data, np.uint8)[~gone])
+        expected[key, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+    rows = suffix_dedup(awkward(spark), length).collect()
+    assert Counter((r.id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == expected
+
+
+@pytest.mark.parametrize("window", [50, 5])
+def test_block_dedup(spark, window):
+    texts = awkward_texts()
+    first = {}
+    for key, text in texts:
+        parts = (text or "").encode().split()
+        for p in range(len(parts) - window + 1 if key is not None else 0):
+            name = tuple(parts[p : p + window])
+            first[name] = min(first.get(name, key), key)
+    expected = Counter()
+    for key, text in texts:
+        parts = (text or "").encode().split()
+        gone = removed(parts, window, lambda w, key=key: key is not None and first[w] < key)
+        kept = b" ".join(w for w, g in zip(parts, gone, strict=True) if not g)
+        expected[key, len(parts), int(gone.sum()), hashlib.sha256(kept).hexdigest()] += 1
+    rows = block_dedup(awkward(spark), window).collect()
+    assert Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in rows) == expected
+
+
+def test_empty_tables(spark):
+    for result in (exact_dedup(empty(spark)), simhash_components(empty(spark)), near_duplicates(empty(spark)), suffix_dedup(empty(spark)), block_dedup(empty(spark))):
+        assert result.count() == 0
+
+
+def test_sliding_minimum_and_anchors():
+    draw = np.random.default_rng(1)
+    values = draw.integers(0, 50, 97, dtype=np.uint64)
+    assert sliding_minimum(values, 7).tolist() == [min(values[i : i + 7]) for i in range(91)]
+    symbols = mix(draw.integers(0, 3, 500, dtype=np.uint64))
+    places = anchors(Rolling(symbols), 4, 10)
+    moved = anchors(Rolling(symbols[100:]), 4, 10)
+    assert (places[100:] - 100 == moved).all()
