@@ -50,18 +50,26 @@ def risk_level(score: Column, policy: RiskPolicy = DEFAULT_RISK) -> Column:
     )
 
 
-def volume_category(transactions: Column, amount: Column) -> Column:
-    return (
-        F.when((transactions > 100) & (amount > 10000), F.lit("HIGH_VOLUME"))
-        .when((transactions > 50) & (amount > 5000), F.lit("MEDIUM_VOLUME"))
-        .otherwise(F.lit("LOW_VOLUME"))
-    )
+@dataclass(frozen=True)
+class VolumePolicy:
+    """Above how many transactions and how much money a day counts as what."""
+
+    high: tuple[int, int] = (100, 10_000)
+    medium: tuple[int, int] = (50, 5_000)
+
+
+def volume_category(transactions: Column, amount: Column, policy: VolumePolicy = VolumePolicy()) -> Column:
+    above = lambda limits: (transactions > limits[0]) & (amount > limits[1])
+    graded = F.when(above(policy.high), F.lit("HIGH_VOLUME")).when(above(policy.medium), F.lit("MEDIUM_VOLUME"))
+    return graded.otherwise(F.lit("LOW_VOLUME"))
+
+
+# The least percentage of valid rows for each status.
+QUALITY_STATUSES = {"EXCELLENT": 95, "GOOD": 90, "ACCEPTABLE": 85}
 
 
 def quality_status(percentage: Column) -> Column:
-    return (
-        F.when(percentage >= 95, F.lit("EXCELLENT"))
-        .when(percentage >= 90, F.lit("GOOD"))
-        .when(percentage >= 85, F.lit("ACCEPTABLE"))
-        .otherwise(F.lit("NEEDS_ATTENTION"))
-    )
+    graded = F.lit("NEEDS_ATTENTION")
+    for status, least in reversed(QUALITY_STATUSES.items()):
+        graded = F.when(percentage >= least, F.lit(status)).otherwise(graded)
+    return graded

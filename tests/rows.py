@@ -11,10 +11,10 @@ GOOD = {
     "merchant_id": "m1",
     "card_number": "4111111111111234",
     "amount": 12.5,
-    "timestamp": dt.datetime(2025, 6, 24, 0, 54, 29),
+    "timestamp": dt.datetime(2025, 6, 24, 0, 41, 5),
     "customer_id": "c1",
     "currency": "USD",
-    "location": "Parkerburg",
+    "location": "Norfield",
 }
 
 
@@ -31,10 +31,10 @@ def many(spark, count, **columns):
         "merchant_id": "'m1'",
         "card_number": "'4111111111111234'",
         "amount": "CAST(12.5 AS DOUBLE)",
-        "timestamp": "TIMESTAMP '2025-06-24 00:54:29'",
+        "timestamp": "TIMESTAMP '2025-06-24 00:41:05'",
         "customer_id": "concat('c', id)",
         "currency": "'USD'",
-        "location": "'Parkerburg'",
+        "location": "'Norfield'",
         **columns,
     }
     return spark.range(count).selectExpr(*[f"{text} AS {name}" for name, text in fields.items()])

@@ -16,11 +16,11 @@ def test_all_steps_in_one_projection(spark):
             "merchant_id": "m1  ",
             "card_number": " 4111-1111 1111-1234 ",
             "currency": " usd ",
-            "location": "  Parkerburg",
+            "location": "  Norfield",
         },
     )
     row = cleaning.clean_transactions(raw).first()
-    assert (row.transaction_id, row.merchant_id, row.location) == ("t1", "m1", "Parkerburg")
+    assert (row.transaction_id, row.merchant_id, row.location) == ("t1", "m1", "Norfield")
     assert row.card_number == "4111111111111234"
     assert row.currency == "USD"
     assert row.transaction_date == dt.date(2025, 6, 24)

@@ -21,7 +21,7 @@ def test_single_transaction_day(spark):
     assert summary.total_transactions == 1
     assert summary.std_transaction_amount is None
     assert summary.total_amount == summary.avg_transaction_amount == Decimal("50.00")
-    assert (summary.currencies_used, summary.locations, summary.active_hours) == (["USD"], ["Parkerburg"], ["00"])
+    assert (summary.currencies_used, summary.locations, summary.active_hours) == (["USD"], ["Norfield"], ["00"])
     risk = metrics.risk_metrics(df).first()
     assert (risk.max_transaction_ratio, risk.risk_score, risk.risk_level) == (Decimal("1.0000"), 7, "MEDIUM")
 

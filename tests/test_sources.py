@@ -9,14 +9,14 @@ from tallyhouse.sources import transactions as S
 from tallyhouse.sources.event_tables import read_event_transactions
 
 RECORD = {
-    "transaction_id": "txn1000",
-    "merchant_id": "merch_012",
+    "transaction_id": "in-0007",
+    "merchant_id": "shop-3",
     "card_number": "4111111111111000",
-    "amount": 684.01,
-    "timestamp": "2025-06-24T00:54:29Z",
-    "customer_id": "cust_1000",
+    "amount": 59.95,
+    "timestamp": "2025-06-24T00:41:05Z",
+    "customer_id": "buyer-11",
     "currency": "USD",
-    "location": "Parkerburg",
+    "location": "Norfield",
 }
 
 
@@ -48,8 +48,8 @@ def ids(df):
 def test_a_record(spark, tmp_path):
     put(tmp_path / "x.json", RECORD)
     row = S.read_transactions(spark, str(tmp_path / "x.json")).selectExpr("*", "unix_timestamp(timestamp) AS epoch").first()
-    assert (row.transaction_id, row.amount, row.is_corrupt) == ("txn1000", 684.01, False)
-    assert row.epoch == 1750726469  # 2025-06-24 00:54:29 UTC
+    assert (row.transaction_id, row.amount, row.is_corrupt) == ("in-0007", 59.95, False)
+    assert row.epoch == 1750725665  # 2025-06-24 00:41:05 UTC
 
 
 def test_the_instant_is_utc_in_any_session_zone(spark, tmp_path):
@@ -59,7 +59,7 @@ def test_the_instant_is_utc_in_any_session_zone(spark, tmp_path):
         epoch = S.read_transactions(spark, str(tmp_path)).selectExpr("unix_timestamp(timestamp)").first()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert epoch == 1750726469
+    assert epoch == 1750725665
 
 
 def test_one_day_reads_its_own_folder(spark, landing):
