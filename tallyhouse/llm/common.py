@@ -8,7 +8,6 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.session import scratch_path, size_shuffles
 from tallyhouse.sinks import files
 
 # Shuffle files go as soon as the action that made them has ended; every staged table is
@@ -42,7 +41,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEAN_SHUFFLES, "false")
     spark.conf.set(CLEAN_SHUFFLES, "true")
     try:
-        size_shuffles(df)
         return files.stage(df, name)[0]
     finally:
         spark.conf.set(CLEAN_SHUFFLES, before)
