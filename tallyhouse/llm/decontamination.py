@@ -11,14 +11,15 @@ cover a share of the item's words; tiles may lie in any order, so reordered pass
 3. For the pairs that are left the words are tiled: matches are found by Karp-Rabin fingerprints,
    the longest are marked first, and what overlaps a marked tile is shortened and tried again.
 
-Defined results: words are runs of ASCII letters, digits and bytes of other letters, A-Z folded to
-a-z; null texts have none; an item of fewer than five words must be found in one piece; an item
+Defined results: words are runs of ASCII letters, digits and bytes of other letters, after Unicode
+case folding and composition (NFC); null texts have none; an item of fewer than five words must be found in one piece; an item
 without words contaminates nothing; repeated rows of a document are reported once.
 """
 
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -34,8 +35,16 @@ FILTER_BITS = 24
 _NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
+def folded(text: bytes) -> bytes:
+    """The text without differences of case, accented letters composed; bytes that are no UTF-8 stay."""
+    if text.isascii():
+        return text.lower()
+    letters = text.decode(errors="surrogateescape").casefold()
+    return unicodedata.normalize("NFC", letters).encode(errors="surrogateescape")
+
+
 def words(text: bytes) -> np.ndarray:
-    return word_symbols(text.lower(), _NO_WORD).symbols
+    return word_symbols(folded(text), _NO_WORD).symbols
 
 
 def seeds_of(symbols: np.ndarray, length: int) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -151,6 +152,17 @@ def test_decontamination(spark):
     assert contaminated(awkward(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_folds_accented_capitals(spark):
+    item = "el niño comió más piñas y volvió después al jardín über die Straße où l'été était déjà passé"
+    apart = unicodedata.normalize("NFD", item)
+    texts = [(1, f"antes {item.upper()} luego"), (2, item), (3, apart.title()), (4, "nada de todo eso se encuentra en este otro texto")]
+    benchmark = spark.createDataFrame([(1, item), (2, item.upper())], "item_id long, text string")
+    rows = contaminated(awkward(spark, texts), benchmark).collect()
+    n = len(words(item.encode()))
+    assert sorted((r.id, r.item_id, r.n_words, r.n_covered) for r in rows) == [(d, i, n, n) for d in (1, 2, 3) for i in (1, 2)]
+    assert words(b"\xff\xc3 AB").tolist() == words(b"\xff\xc3 ab").tolist()
+
+
 def kneser_ney(training: list[list[bytes]]):
     """Brute force over plain counters: the probability of a word after another."""
     pairs, heads = Counter(), defaultdict(Counter)
