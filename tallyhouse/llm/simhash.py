@@ -1,4 +1,4 @@
-"""SimHash fingerprints, and near duplicates by pivot distance tables.
+"""SimHash fingerprints by pivot distance tables, and near duplicates by shingle sets.
 
 A fingerprint has one or more 64-bit lanes. For every fingerprint the Hamming distances to a fixed
 set of reference fingerprints, the pivots, are computed once. A pair whose distances to any one
@@ -11,9 +11,11 @@ Which pairs are looked at: two ways, both by equal keys.
   with more than ``BUCKET`` fingerprints is not paired out: each of its members is filed under all
   fingerprints within d/2 bits of itself, and two fingerprints share such a place exactly when
   they are within d bits. Linking each to the smallest of its place keeps the components.
-* ``similar_links`` (several lanes, large distance) uses bands of bits as keys, as many as make a
-  miss unlikely, and proposes pairs whose shingle sets are then compared. A crowded band proposes
-  each member with two of its members.
+* ``near_duplicates`` compares shingle sets and misses nothing either: of two sets alike to s, each
+  of n shingles, one of the n - ceil(s n) + 1 rarest of the first is among those of the second (in
+  any one order of all shingles), and these are the keys. Pairs that share too few keys are dropped
+  and the others' sets compared. The members of a crowded key are dealt over blocks, and tasks
+  search all pairs of two blocks for links with the same components.
 
 Defined results: a null or empty text has fingerprint zero; fewer words than a shingle count as one
 shingle; repeated rows share a component; an empty table gives no rows. Other columns are not read.
@@ -32,12 +34,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import connected_components, id_and_text, staged, texts
+from tallyhouse.llm.common import connected_components, drop_staged, id_and_text, staged, texts
+from tallyhouse.llm.repeats import longs, per_document, word_symbols
+from tallyhouse.llm.rolling import Rolling, mix
 
 BUCKET = 32
 PIVOTS = 12
 SEED = 42
 CHUNK = 1 << 15
+BUCKETS = 1 << 18  # of shingles, counted to order them by rarity
+BLOCK = 1 << 21  # shingles of a block of a crowded key
 
 
 def _signed(bits: int) -> int:
@@ -171,21 +177,6 @@ def close_links(fps: DataFrame, distance: int) -> DataFrame:
     return links.union(stars)
 
 
-def similar_links(fps: DataFrame, lanes: int, distance: int, bands: int, band_bits: int) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints of several lanes within ``distance``, found by bands of bits."""
-    draw = random.Random(SEED)
-    masks = [_signed(sum(1 << i for i in draw.sample(range(64), band_bits))) for _ in range(bands)]
-    table = _named(fps, lanes)
-    keyed = _keyed(table, [F.col("fp").getItem(i % lanes).bitwiseAND(m) for i, m in enumerate(masks)])
-    ends = [F.count(F.lit(1)).alias("count"), F.min("f").alias("low"), F.max("f").alias("high")]
-    sizes = staged(keyed.groupBy("k", "v").agg(*ends).where("count > 1"), "simhash-bands")
-    pairs = _pairs(keyed, sizes.where(F.col("count") <= BUCKET).select("k", "v"))
-    crowded = keyed.join(sizes.where(F.col("count") > BUCKET), ["k", "v"])
-    crowded = crowded.select("f", F.explode(F.array("low", "high")).alias("end")).where("f <> end")
-    pairs = pairs.union(crowded.select(F.least("f", "end").alias("a"), F.greatest("f", "end").alias("b"))).distinct()
-    return _survivors(staged(pairs, "simhash-pairs"), table, lanes, distance)
-
-
 def _components(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, fp, component) of ``rows`` (id, fp): the smallest id of the fingerprints that links join."""
     groups = connected_components(classes.select(F.col("fp").alias("node")), links)
@@ -202,70 +193,214 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 2, id_
     return _components(rows, classes, close_links(classes.select("fp"), distance))
 
 
-def band_plan(rows: int, bits: int, similarity: float) -> tuple[int, int, int]:
-    """(distance, bands, bits of a band) for fingerprints of ``bits`` bits.
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of every run of ``shingle`` words of a lower-cased text; fewer words are one run."""
+    symbols = word_symbols(text.lower()).symbols
+    return np.unique(mix(Rolling(symbols).all(min(shingle, max(len(symbols), 1)))))
 
-    Sets of Jaccard similarity s differ in a share arccos(2s / (1 + s)) / pi of their bits; the
-    distance allows 2.7 deviations more. A band has so many bits that chance puts a row together
-    with a thirty-second of another one, and there are so many bands that a pair at the least
-    similarity agrees in four of them on average.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    band_bits = min(48, math.ceil(math.log2(max(rows, 2))) + 4)
-    bands = math.ceil(4 / (1 - share) ** band_bits)
-    return math.ceil(bits * share + 2.7 * math.sqrt(bits * share * (1 - share))), bands, band_bits
 
+def _set_name(found: np.ndarray) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(found.tobytes()))
 
-def _shingle_sets(docs: DataFrame, shingle: int, lanes: int) -> DataFrame:
-    """(fp, shingles): 32 bits of the hash of every distinct shingle, sorted."""
+
+def _at_least(share: float, n):
+    """The least whole number that is no smaller than ``share * n``."""
+    return np.ceil(share * n - 1e-9).astype(np.int64)
+
+
+def _named_sets(source: DataFrame, shingle: int) -> DataFrame:
+    """(id, f) of every row, f naming its shingle set; and (bucket, c), in how many texts of a task a bucket of shingles is."""
 
     def compute(batches):
+        counts = np.zeros(BUCKETS, np.int64)
+        nulls = lambda n, kind: pa.nulls(n, kind)
+        kind = None
         for batch in batches:
-            fps, sets = [], []
+            kind, names = batch.schema.field("id").type, []
             for _, text in texts(batch):
-                hashes = shingle_hashes(text, shingle)
-                fps.append(simhash(hashes, lanes))
-                sets.append(np.unique(hashes.astype(np.uint32)).tobytes())
-            columns = [pa.array(fps, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["fp", "shingles"])
+                found = shingle_set(text, shingle)
+                names.append(_set_name(found))
+                np.add.at(counts, found & np.uint64(BUCKETS - 1), 1)
+            columns = [batch.column("id"), pa.array(names, pa.int64()), nulls(len(names), pa.int64()), nulls(len(names), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "f", "bucket", "c"])
+        used = np.flatnonzero(counts)
+        if len(used):
+            columns = [nulls(len(used), kind), nulls(len(used), pa.int64()), *longs(used, counts[used])]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "f", "bucket", "c"])
+
+    return source.mapInArrow(compute, f"id {source.schema['id'].dataType.simpleString()}, f long, bucket long, c long")
+
+
+def _prefix_keys(source: DataFrame, shingle: int, similarity: float, counts: np.ndarray) -> DataFrame:
+    """(key, f, size): of each set the rarest shingles, one of which any set alike to it has among its own rarest."""
+    shared = source.sparkSession.sparkContext.broadcast(counts)
+
+    def compute(batches):
+        done = set()
+
+        def keys(row):
+            found = shingle_set(row["text"] or b"", shingle)
+            name, n = _set_name(found), len(found)
+            if not n or name in done:
+                return None
+            done.add(name)
+            rarest = np.lexsort((found, shared.value[found & np.uint64(BUCKETS - 1)]))
+            taken = found[rarest[: n - int(_at_least(similarity, n)) + 1]]
+            return taken, np.full(len(taken), name, np.int64), np.full(len(taken), n)
+
+        yield from per_document(batches, keys, ["key", "f", "size"], [])
+
+    return source.mapInArrow(compute, "key long, f long, size long")
+
+
+def _prefix_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) that share a key of at most ``BUCKET`` sets, less those that share too few for the similarity.
+
+    A set of n shingles has its r = ceil(s n) - 1 commonest ones outside its keys. Of two sets, whatever
+    they share beyond their common keys lies among the r commonest of one of them.
+    """
+    small = members.where(F.col("n") <= BUCKET)
+    side = lambda x: small.select("key", F.col("f").alias(x), F.col("size").alias(f"{x}_size"))
+    sizes = [F.least("a_size", "b_size"), F.greatest("a_size", "b_size")]
+    pairs = side("a").join(side("b"), "key").where("a < b").where(sizes[0] >= F.lit(similarity) * sizes[1] - 1e-9)
+    pairs = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("m"))
+    crowded = members.where(F.col("n") > BUCKET).groupBy("f").agg(F.count(F.lit(1)).alias("more"))
+    for x in ("a", "b"):
+        pairs = pairs.join(crowded.select(F.col("f").alias(x), F.col("more").alias(f"{x}_more")), x, "left")
+    unseen = F.least(F.coalesce("a_more", F.lit(0)), F.coalesce("b_more", F.lit(0)))
+    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("a_size") + F.col("b_size")) - 1e-6)
+    outside = F.ceil(F.lit(similarity) * sizes[1] - 1e-6) - 1
+    return pairs.where(F.col("m") + unseen >= needed - outside).select("a", "b")
+
+
+def _crowded_units(members: DataFrame) -> DataFrame:
+    """(key, i, j, f): the sets of a key of more than ``BUCKET``, cut into blocks, every two of which make a unit.
+
+    Keys with the same members count once. A unit holds about 2 ``BLOCK`` shingles, whatever the key has.
+    """
+    crowded = members.where(F.col("n") > BUCKET)
+    h = F.xxhash64("f")
+    low, high = F.sum(h.bitwiseAND((1 << 31) - 1)), F.sum(F.shiftrightunsigned(h, 33))
+    keys = crowded.groupBy("key").agg(low.alias("low"), high.alias("high"), F.count(F.lit(1)).alias("of"))
+    keys = keys.groupBy("low", "high", "of").agg(F.min("key").alias("key")).select("key")
+    blocks = F.ceil(F.col("total") / BLOCK).cast("long")
+    dealt = crowded.join(keys, "key").select("key", "f", blocks.alias("blocks"), F.pmod(F.xxhash64("f", F.lit(SEED)), blocks).alias("own"))
+    other = dealt.select("key", "f", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    return other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "f")
+
+
+def spanning_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links between places of alike sets whose components are those of all alike pairs; no set is empty.
+
+    Each set that was reached is compared with all that were not, so a group alike to one member takes a step or two.
+    """
+    sizes = np.array(list(map(len, sets)))
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    of = np.split(ids, np.cumsum(sizes)[:-1])
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    left, links, reached = np.arange(len(sets)), [], []
+    while len(left):
+        if not reached:
+            reached.append(int(left[0]))
+            keep = np.arange(len(left)) > 0
+        else:
+            hub = reached.pop()
+            mark[of[hub]] = True
+            common = np.add.reduceat(mark[ids], starts, dtype=np.int64)
+            mark[of[hub]] = False
+            keep = common < similarity * (sizes[hub] + sizes[left] - common) - 1e-9
+            found = left[~keep].tolist()
+            links += [(hub, other) for other in found]
+            reached += found
+        if not keep.all():
+            ids = ids[np.repeat(keep, sizes[left])]
+            left = left[keep]
+            starts = np.cumsum(sizes[left]) - sizes[left]
+    return links
+
+
+def _crowded_links(units: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that keep the components of every unit; the pairs are looked at inside the tasks."""
+    unit = ["key", "i", "j"]
+    rows = units.join(sets, "f").select(*unit, "f", "shingles").repartition(*unit).sortWithinPartitions(*unit)
+
+    def compute(batches):
+        now, held = None, {}
+
+        def links():
+            names = list(held)
+            found = spanning_links([np.frombuffer(held[f], np.uint64) for f in names], similarity) if len(names) > 1 else []
+            ends = [pa.array([names[link[x]] for link in found], pa.int64()) for x in (0, 1)]
+            return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+        for batch in batches:
+            for *at, f, shingles in zip(*[batch.column(c) for c in (*unit, "f", "shingles")], strict=True):
+                at = [x.as_py() for x in at]
+                if at != now:
+                    if held:
+                        yield links()
+                    now, held = at, {}
+                held[f.as_py()] = shingles.as_py()
+        if held:
+            yield links()
+
+    return rows.mapInArrow(compute, "a long, b long")
+
+
+def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(f, shingles): the sorted hashes of every distinct shingle."""
+
+    def compute(batches):
+        for batch in batches:
+            found = [shingle_set(text, shingle) for _, text in texts(batch)]
+            columns = [pa.array(map(_set_name, found), pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["f", "shingles"])
 
-    return docs.mapInArrow(compute, "fp array<long>, shingles binary").dropDuplicates(["fp"])
+    return docs.mapInArrow(compute, "f long, shingles binary").dropDuplicates(["f"])
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose shingle sets have the Jaccard similarity."""
-    side = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"{name}_set"))
+    side = lambda name: sets.select(F.col("f").alias(name), F.col("shingles").alias(f"{name}_set"))
 
     def compute(batches):
         for batch in batches:
             near = []
             for a, b in zip(batch.column("a_set"), batch.column("b_set"), strict=True):
-                a, b = np.frombuffer(a.as_py(), np.uint32), np.frombuffer(b.as_py(), np.uint32)
+                a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                 common = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(common >= similarity * (len(a) + len(b) - common))
+                near.append(common >= similarity * (len(a) + len(b) - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set")
-    return joined.mapInArrow(compute, "a array<long>, b array<long>")
+    return joined.mapInArrow(compute, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, lanes: int = 4, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component) of texts whose sets of word shingles are alike to ``similarity`` or more.
 
-    Fingerprints propose the pairs; the shingle sets decide. Rows with one fingerprint are alike.
+    ``fp`` names the set, so rows with one ``fp`` are alike. All alike pairs are found, or others that join the same rows.
     """
     source = id_and_text(docs, id_col, text_col)
-    rows = staged(fingerprints(docs, shingle, lanes, id_col, text_col), "fingerprints")
-    classes = staged(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "fingerprint-classes")
-    distance, bands, band_bits = band_plan(classes.count(), 64 * lanes, similarity)
-    pairs = staged(similar_links(classes.select("fp"), lanes, distance, bands, band_bits), "near-pairs")
-    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted = classes.join(asked, "fp").select(F.col("least_id").alias("wanted")).distinct()
+    described = staged(_named_sets(source, shingle), "shingle-names")
+    rows = described.where("bucket is null").select("id", F.array("f").alias("fp"))
+    classes = staged(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "shingle-classes")
+    seen = described.where("bucket is not null").groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()  # BUCKETS rows at most
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[seen.column("bucket").to_numpy()] = seen.column("c").to_numpy()
+    keys = staged(_prefix_keys(source, shingle, similarity, counts), "prefix-keys")
+    ends = [F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("f").alias("low"), F.max("f").alias("high")]
+    shared = staged(keys.groupBy("key").agg(*ends).where("low <> high").select("key", "n", "total"), "prefix-shared")
+    members = staged(keys.join(shared, "key"), "prefix-members")
+    drop_staged(keys)
+    pairs = staged(_prefix_pairs(members, similarity), "near-pairs")
+    units = staged(_crowded_units(members), "crowded-units")
+    asked = pairs.select(F.col("a").alias("f")).union(pairs.select(F.col("b").alias("f"))).union(units.select("f")).distinct()
+    wanted = classes.join(asked.select(F.array("f").alias("fp")), "fp").select(F.col("least_id").alias("wanted")).distinct()
     texts_of = source.join(wanted, source["id"].eqNullSafe(wanted["wanted"]), "left_semi")
-    sets = staged(_shingle_sets(texts_of, shingle, lanes), "shingle-sets")
-    return _components(rows, classes, _alike(pairs, sets, similarity))
+    sets = staged(_shingle_sets(texts_of, shingle), "shingle-sets")
+    links = _alike(pairs, sets, similarity).union(_crowded_links(units, sets, similarity))
+    return _components(rows, classes, links.select(F.array("a").alias("a"), F.array("b").alias("b")))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -16,7 +17,7 @@ from tallyhouse.llm.exact_dedup import drop_copies, exact_dedup
 from tallyhouse.llm.rolling import anchors, Rolling, mix, sliding_minimum
 from tallyhouse.llm.simhash import drop_near_duplicates, near_duplicates, simhash, simhash_components, shingle_hashes
 from tallyhouse.llm.suffix_dedup import suffix_dedup
-from tests.llm.fixtures import awkward, awkward_texts, empty
+from tests.llm.fixtures import awkward, awkward_texts, empty, words
 
 
 def by_text(texts):
@@ -127,6 +128,31 @@ def test_near_duplicates(spark):
     assert {r.doc_id for r in left.collect()} >= set(group.values())
 
 
+def check_near(spark, texts):
+    """Components of ``near_duplicates`` against those of all pairs."""
+    found = near_duplicates(awkward(spark, texts)).collect()
+    sets = [frozenset(shingle_hashes(t.encode(), 5).tolist()) for _, t in texts]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    assert Counter((r.id, r.component) for r in found) == components(sets, [k for k, _ in texts], alike)
+
+
+@pytest.mark.parametrize(("bucket", "block"), [(2, 1 << 21), (2, 700), (10**6, 1)])
+def test_near_copies_of_one_original_in_crowds(spark, monkeypatch, bucket, block):
+    """Copies are alike to the original, which has a middling name, but not to each other."""
+    monkeypatch.setattr("tallyhouse.llm.simhash.BUCKET", bucket)
+    monkeypatch.setattr("tallyhouse.llm.simhash.BLOCK", block)
+    draw = random.Random(4)
+    texts = []
+    for group in range(3):
+        base = words(draw, 120)
+        texts.append((100 * group + 50, " ".join(base)))
+        for i in range(30):
+            at = draw.randrange(5, 105)
+            texts.append((100 * group + i, " ".join(base[:at] + words(draw, 8) + base[at + 8 :])))
+    texts += [(1000 + i, " ".join([*base[:40], *words(draw, 60)])) for i in range(20)]
+    check_near(spark, texts)
+
+
 def removed(symbols: list, window: int, gone) -> np.ndarray:
     cover = np.zeros(len(symbols) + 1, int)
     for p in range(len(symbols) - window + 1):
