@@ -153,6 +153,15 @@ def test_near_copies_of_one_original_in_crowds(spark, monkeypatch, bucket, block
     check_near(spark, texts)
 
 
+def test_repeated_lines_do_not_make_near_copies(spark):
+    """A line that outweighs the rest fixes a majority of bits, and how often it occurs changes no set."""
+    draw = random.Random(6)
+    line = words(draw, 11)
+    texts = [(i, " ".join(line * 60 + words(draw, 64))) for i in range(4)]
+    texts += [(10 + i, " ".join(line * n)) for i, n in enumerate((3, 60, 400))]
+    check_near(spark, texts)
+
+
 def removed(symbols: list, window: int, gone) -> np.ndarray:
     cover = np.zeros(len(symbols) + 1, int)
     for p in range(len(symbols) - window + 1):
