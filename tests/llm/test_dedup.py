@@ -162,6 +162,17 @@ def test_repeated_lines_do_not_make_near_copies(spark):
     check_near(spark, texts)
 
 
+@pytest.mark.parametrize("size", [4, 10, 40, 200])
+def test_near_pairs_at_the_limit_are_all_found(spark, size):
+    """Pairs just at and above a similarity of 0.8, among them short texts with a word added."""
+    draw = random.Random(size)
+    texts = []
+    for i in range(150):
+        base = words(draw, size + 4, 10**6)
+        texts += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base + words(draw, size // 4, 10**6)))]
+    check_near(spark, texts)
+
+
 def removed(symbols: list, window: int, gone) -> np.ndarray:
     cover = np.zeros(len(symbols) + 1, int)
     for p in range(len(symbols) - window + 1):
