@@ -66,6 +66,14 @@ def _save(path: str, *arrays: np.ndarray) -> None:
     os.replace(part, path)
 
 
+def _narrowed(counts: np.ndarray, kind: str) -> np.ndarray:
+    """``counts`` as numbers of ``kind``; one that does not fit is an error."""
+    limits = np.iinfo(kind)
+    if counts.size and (counts.min() < limits.min or counts.max() > limits.max):
+        raise OverflowError(f"a count of {counts.max()} does not fit {limits.dtype}")
+    return counts.astype(kind)
+
+
 class SortedArrays:
     """Sorted 64-bit keys with a number each, in one file per range of keys."""
 
@@ -112,7 +120,7 @@ def _write_ranges(rows: DataFrame, folder: str, bits: int, value: str, stats=Non
 
         def close():
             k, c = np.concatenate(keys).view(np.uint64), np.concatenate(counts)
-            _save(f"{folder}/{part}", k, c.astype(value))
+            _save(f"{folder}/{part}", k, _narrowed(c, value))
             written.append((part, len(k)))
             return stats(k, c) if stats else None
 
@@ -198,10 +206,10 @@ class Lookup:
     def __init__(self, model: Model):
         self.model = model
         self.vocabulary = SortedArrays(f"{model.folder}/words", model.word_bits, "<i8")
-        self.pairs = SortedArrays(f"{model.folder}/pairs", model.pair_bits, "<i4")
+        self.pairs = SortedArrays(f"{model.folder}/pairs", model.pair_bits, "<u4")
         self.offsets = np.array(model.offsets, np.int64)
         path = f"{model.folder}/word-stats"
-        self.stats = np.memmap(path, "<i4", "r", 0, (model.words, 4)) if os.path.exists(path) and model.words else np.zeros((1, 4), "<i4")
+        self.stats = np.memmap(path, "<u4", "r", 0, (model.words, 4)) if os.path.exists(path) and model.words else np.zeros((1, 4), "<u4")
 
     def ids(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id or -1, training count) of every token."""
@@ -268,7 +276,7 @@ def train(training: DataFrame) -> Model:
         return pa.RecordBatch.from_arrays(longs(ids, *sums), ["id", "once", "twice", "more", "second"])
 
     schema = "id long, once long, twice long, more long, second long"
-    part = _write_ranges(_count(training, keys_of, model.pair_bits), f"{folder}/pairs", model.pair_bits, "<i4", stats, schema)
+    part = _write_ranges(_count(training, keys_of, model.pair_bits), f"{folder}/pairs", model.pair_bits, "<u4", stats, schema)
     part = staged(part, "pair-stats")
     words = part.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("once", "twice", "more", "second")])
     words = staged(words, "word-stats")
@@ -311,7 +319,7 @@ def _write_word_stats(words: DataFrame, model: Model) -> None:
         with open(path, "r+b") as out:
             for batch in batches:
                 ids = batch.column("id").to_numpy()
-                rows = np.stack([batch.column(c).to_numpy() for c in ("once", "twice", "more", "second")], axis=1).astype("<i4")
+                rows = _narrowed(np.stack([batch.column(c).to_numpy() for c in ("once", "twice", "more", "second")], axis=1), "<u4")
                 edges = np.flatnonzero(np.diff(ids, prepend=-2, append=-2) != 1)
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     os.pwrite(out.fileno(), rows[a:b].tobytes(), int(ids[a]) * 16)

@@ -204,6 +204,19 @@ def test_language_model(spark):
     assert all(np.isfinite(r.score) and r.score == pytest.approx(r.base_score) for r in none.collect())
 
 
+@pytest.mark.parametrize("count", [2**31 + 5, 2**32 - 1, 2**32])
+def test_large_counts_stay_or_raise(spark, tmp_path, count):
+    rows = spark.createDataFrame([(0, 7, count - 1), (0, 7, 1)], "part long, key long, c long")
+    made = lm._write_ranges(rows, str(tmp_path), 6, lm.Lookup(lm.Model(str(tmp_path), 8, 6, [0])).pairs.value.str)
+    if count >= 2**32:
+        with pytest.raises(Exception, match="does not fit"):
+            made.collect()
+    else:
+        made.collect()
+        found = lm.SortedArrays(str(tmp_path), 6, "<u4").find(np.array([7], np.uint64))
+        assert found[2].tolist() == [count]
+
+
 def test_scrambling_can_be_undone():
     values = np.random.default_rng(0).integers(0, 2**63, 1000, dtype=np.uint64)
     assert (lm._unmix(lm.mix(values)) == values).all()
