@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.block_dedup import block_dedup
+from tallyhouse.llm.chat_format import prefix_examples, read_back
 from tallyhouse.llm.common import fold, table
+from tallyhouse.llm.conversation_trie import conversation_trie
 from tallyhouse.llm.decontamination import contaminated
 from tallyhouse.llm.exact_dedup import exact_dedup
 from tallyhouse.llm.language_model import train_and_score
@@ -143,3 +145,88 @@ def op7_language_model(spark, folder):
         "base_score",
         "score",
     )
+
+
+@query
+def op11_chat_format(spark, folder):
+    """All conversations, and one more whose texts look like markers of common templates."""
+    said = F.lit("\\### Assistant: </turn> ok")
+    number, role = F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), number.alias("turn"), role.alias("role"), said.alias("text"))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return read_back(prefix_examples(turns)).withColumnRenamed("conv", "conv_id")
+
+
+# A turn takes its role and text, escaped, and 15 characters of markers and line breaks.
+ORACLES["op11_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *, 15 + length(replace(regexp_replace(replace(role, '\', '\\'), '<(/?turn)', '\\l\1', 'g'), chr(10), '\n'))
+           + length(regexp_replace(replace(text, '\', '\\'), '<(/?turn)', '\\l\1', 'g')) AS size,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC) = 1 AS final
+    FROM turns
+), summed AS (
+    SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS prefix FROM sized
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(prefix) FILTER (role = 'assistant' OR final) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id
+"""
+
+
+@query
+def op13_conversation_trie(spark, folder):
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
+# DuckDB has no CRC-32: it is folded over one mark for each digit and eight steps of the reflected
+# polynomial after it.
+_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), flatten(list_transform(range(1, length(digits) + 1),
+    lambda i: list_prepend(CAST(ascii(substr(digits, i, 1)) AS UBIGINT), CAST([256, 256, 256, 256, 256, 256, 256, 256] AS UBIGINT[]))))),
+    lambda c, x: CASE WHEN x < 256 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END)"""
+
+ORACLES["op13_conversation_trie"] = rf"""
+WITH turns AS (
+    SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv, CAST(conv AS VARCHAR) AS digits FROM (SELECT DISTINCT conv FROM turns)
+), cuts AS (
+    SELECT conv, CAST(xor({_CRC32}, CAST(4294967295 AS UBIGINT)) % 4 AS INTEGER) AS h FROM convs
+), rebuilt AS (
+    SELECT c.conv, t.place, t.role, t.text FROM cuts c JOIN turns t ON t.conv = c.conv - c.conv % 20 AND t.place <= c.h
+    UNION ALL SELECT c.conv, t.place, t.role, t.text FROM cuts c JOIN turns t ON t.conv = c.conv AND t.place > c.h
+), numbered AS (
+    SELECT conv, row_number() OVER (PARTITION BY conv ORDER BY place) AS depth,
+           sha256(length(role) || ':' || role || text) AS turn, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words
+    FROM rebuilt
+), paths AS (
+    SELECT conv, depth, words, string_agg(turn, '') OVER (PARTITION BY conv ORDER BY depth) AS node FROM numbered
+    UNION ALL SELECT conv, 0, 0, '' FROM cuts
+), lengths AS (SELECT conv, max(depth) AS depth FROM paths GROUP BY conv),
+nodes AS (
+    SELECT node, p.depth, min(p.conv) AS conv, count(*) AS n, max(words) AS words,
+           sha256(coalesce(string_agg(CAST(p.conv AS VARCHAR), ',' ORDER BY p.conv) FILTER (p.depth = l.depth), '')) AS ends
+    FROM paths p JOIN lengths l ON l.conv = p.conv GROUP BY node, p.depth
+), family AS (
+    SELECT c.*, p.conv AS parent_conv, count(k.node) AS children
+    FROM nodes c LEFT JOIN nodes p ON c.depth > 0 AND p.node = substr(c.node, 1, length(c.node) - 64)
+    LEFT JOIN nodes k ON k.depth > 0 AND substr(k.node, 1, length(k.node) - 64) = c.node
+    GROUP BY ALL
+), sums AS (
+    SELECT substr(f.node, 1, CAST(64 * up.d AS BIGINT)) AS node, CAST(count(*) FILTER (children = 0) AS BIGINT) AS leaves,
+           CAST(sum((n - 1) * words) AS BIGINT) AS saved
+    FROM family f, LATERAL (SELECT unnest(range(f.depth + 1)) AS d) up GROUP BY 1
+)
+SELECT conv AS conv_id, CAST(depth AS BIGINT) AS depth, parent_conv AS parent_conv_id, n AS n_convs, children AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, ends AS ends_sha256
+FROM family JOIN sums USING (node)
+"""
