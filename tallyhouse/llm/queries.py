@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.block_dedup import block_dedup
+from tallyhouse.llm.centroids import cluster_report, shallot_clusters
 from tallyhouse.llm.chat_format import prefix_examples, read_back
 from tallyhouse.llm.common import fold, table
 from tallyhouse.llm.conversation_trie import conversation_trie
@@ -230,3 +231,45 @@ SELECT conv AS conv_id, CAST(depth AS BIGINT) AS depth, parent_conv AS parent_co
        leaves AS n_leaves, saved AS saved_tokens, ends AS ends_sha256
 FROM family JOIN sums USING (node)
 """
+
+
+@query
+def op12_centroid_clusters(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return cluster_report(*shallot_clusters(vectors)).withColumnRenamed("id", "vec_id")
+
+
+def _cluster_rounds(rounds: int) -> str:
+    """Assignment to the nearest centroid and its replacement by the floor of the mean, ``rounds`` times, then one more assignment."""
+    parts = []
+    for i in range(rounds + 1):
+        parts.append(f"""assigned{i} AS MATERIALIZED (
+    SELECT row, any_value(id) AS id, any_value(v.x) AS x, min(row(list_sum(list_transform(list_zip(v.x, c.x),
+           lambda p: CAST((p[1] - p[2]) * (p[1] - p[2]) AS BIGINT)))::BIGINT, num)) AS best
+    FROM kept v, centroids{i} c GROUP BY row
+)""")
+        if i < rounds:
+            parts.append(f"""sums{i} AS (
+    SELECT best[2] AS num, k, sum(x[k])::BIGINT AS s, count(*) AS n FROM assigned{i}, range(1, 65) t(k) GROUP BY 1, 2
+), centroids{i + 1} AS MATERIALIZED (
+    SELECT c.num, coalesce(m.x, c.x) AS x FROM centroids{i} c
+    LEFT JOIN (SELECT num, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x FROM sums{i} GROUP BY num) m USING (num)
+)""")
+    return ", ".join(parts)
+
+
+ORACLES["op12_centroid_clusters"] = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id AS id,
+           list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64
+), centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || id), x) - 1 AS num, x FROM kept WHERE id IS NOT NULL
+    ORDER BY sha256('2:' || id), x LIMIT 40
+), {_cluster_rounds(5)}
+SELECT a.id AS vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance,
+       CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia, CAST(sum(best[1]) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM assigned5 a JOIN centroids5 c ON c.num = best[2]
+"""
