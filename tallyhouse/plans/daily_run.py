@@ -27,6 +27,7 @@ from tallyhouse.schema import IS_CORRUPT
 from tallyhouse.session import require_ansi, require_utc, size_shuffles
 from tallyhouse.sinks import files, outputs
 from tallyhouse.sinks.jdbc import write_jdbc
+from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sinks.run_log import Run, record_run
 from tallyhouse.sources import transactions
@@ -107,11 +108,14 @@ def process_transactions(
     policy: RiskPolicy = DEFAULT_RISK,
     salt: str | None = None,
     separator: str = "",
+    landed: LandedIds | None = None,
 ) -> RunResult:
     """Run the job on ``raw`` and store everything under partition ``processing_date``.
 
     Running the same date again replaces its outputs. Any failure raises after the run
     log was set to FAILED, or to PARTIAL if writing the outputs had already begun.
+    With ``landed``, records whose id was stored as valid on an earlier date are left out
+    and count as not read; the ids of this run's valid rows are recorded when it has ended.
     """
     spark = raw.sparkSession
     require_utc(spark)
@@ -126,6 +130,8 @@ def process_transactions(
         scratch.append(path)
 
         size_shuffles(staged)
+        if landed:
+            staged = landed.unseen(staged, day)
         quality = metrics.data_quality_summary(staged, copies_col=COPIES)
         quality, path = files.stage(quality, "quality")
         scratch.append(path)
@@ -163,6 +169,8 @@ def process_transactions(
 
         if target.jdbc:
             send_to_database(spark, target, day, list(tables))
+        if landed:
+            landed.record(valid, day)
         record_run(spark, target, run.ended("SUCCESS"))
     except Exception as error:
         record_run(spark, target, run.ended(status, _described(error)))

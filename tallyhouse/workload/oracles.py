@@ -252,6 +252,30 @@ _PLAIN_VALID = "SELECT * EXCLUDE (cents) FROM valid"
 _MASKED = f"""SELECT * EXCLUDE (cents, card_number, customer_id), {_MASK} AS card_number_masked,
     sha256(customer_id) AS customer_id_hash, {_HASH} AS transaction_hash FROM valid"""
 
+_DAILY_TEXT = """
+    SELECT * REPLACE (CAST(std_transaction_amount AS DECIMAL(18,6)) AS std_transaction_amount,
+                      CAST(avg_data_quality_score AS DECIMAL(3,2)) AS avg_data_quality_score) FROM daily"""
+_KPIS_TEXT = "SELECT * REPLACE (CAST(data_quality_score AS DECIMAL(3,2)) AS data_quality_score) FROM kpis"
+
+
+def _unpivoted(name: str, rows: str, part: str | None = None) -> str:
+    """Keys, measure, and its value as text."""
+    columns = f"CAST({part} AS VARCHAR) AS part, CAST(COLUMNS(* EXCLUDE (merchant_id, transaction_date, {part})) AS VARCHAR)" if part else (
+        "'' AS part, CAST(COLUMNS(* EXCLUDE (merchant_id, transaction_date)) AS VARCHAR)"
+    )
+    return f"""SELECT '{name}' AS summary, merchant_id, transaction_date, part, measure, value
+        FROM (SELECT merchant_id, transaction_date, {columns} FROM ({rows}))
+        UNPIVOT INCLUDE NULLS (value FOR measure IN (COLUMNS(* EXCLUDE (merchant_id, transaction_date, part))))"""
+
+
+_LONG = " UNION ALL ".join([
+    _unpivoted("daily_merchant_summary", _DAILY_TEXT),
+    _unpivoted("risk_metrics", "SELECT * FROM risk"),
+    _unpivoted("hourly_patterns", "SELECT * FROM hourly", "transaction_hour"),
+    _unpivoted("currency_breakdown", "SELECT * FROM by_currency", "currency"),
+    _unpivoted("merchant_kpis", _KPIS_TEXT),
+])
+
 ORACLES: dict[str, str] = {
     "event_transactions": _from_raw("SELECT * FROM raw"),
     "read_date_range": _from_raw(f"SELECT * FROM raw WHERE {_RANGE}"),
@@ -334,15 +358,7 @@ ORACLES: dict[str, str] = {
     "hourly_patterns": _from_valid("SELECT * FROM hourly", _HOURLY),
     "currency_breakdown": _from_valid("SELECT * FROM by_currency", _CURRENCY),
     "merchant_kpis": _from_valid("SELECT * FROM kpis", _KPIS),
-    "comprehensive_summary": _from_valid(
-        """SELECT 'daily_merchant_summary' AS summary, count(*) AS rows,
-            CAST(sum(total_transactions) AS BIGINT) AS transactions FROM daily
-        UNION ALL SELECT 'risk_metrics', count(*), CAST(sum(transaction_velocity) AS BIGINT) FROM risk
-        UNION ALL SELECT 'hourly_patterns', count(*), CAST(sum(hourly_transactions) AS BIGINT) FROM hourly
-        UNION ALL SELECT 'currency_breakdown', count(*), CAST(sum(currency_transactions) AS BIGINT) FROM by_currency
-        UNION ALL SELECT 'merchant_kpis', count(*), CAST(sum(transaction_count) AS BIGINT) FROM kpis""",
-        _DAILY, _RISK, _HOURLY, _CURRENCY, _KPIS,
-    ),
+    "comprehensive_summary": _from_valid(_LONG, _DAILY, _RISK, _HOURLY, _CURRENCY, _KPIS),
     "daily_transaction_summary": _from_valid("SELECT * FROM by_day ORDER BY transaction_date DESC", _BY_DAY),
     "data_quality_summary": _from_flagged(f"SELECT {_QUALITY} FROM flagged"),
     "merchant_performance_overview": _from_valid(
@@ -372,6 +388,10 @@ ORACLES: dict[str, str] = {
         """SELECT transaction_id, concat('["', replace(validation_errors, ',', '","'), '"]') AS validation_errors
         FROM flagged WHERE NOT is_valid"""
     ),
+    "dedup_across_days": _from_cleaned(
+        """SELECT transaction_id, ingest_seq, landing_date FROM cleaned QUALIFY row_number() OVER
+            (PARTITION BY transaction_id ORDER BY landing_date > DATE '2024-01-15', ingest_seq) = 1"""
+    ),
     "parquet_by_day": _from_valid(_PLAIN_VALID),
     "daily_job_processed": _from_valid(
         f"""SELECT transaction_id, merchant_id, {_MASK} AS card_number_masked, amount, currency, timestamp,

@@ -17,6 +17,7 @@ from tallyhouse.plans.result_views import register_views
 from tallyhouse.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA
 from tallyhouse.session import scratch_path, size_shuffles
 from tallyhouse.sinks import files, jdbc
+from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sources import transactions
 from tallyhouse.sources.event_tables import DEDUP_ORDER, read_event_transactions, table, transactions_from_events
@@ -135,8 +136,13 @@ def data_availability(spark, folder):
     """Whether there are records: in the landing folder, and in one that does not exist."""
     root = _landed_json(spark, folder)
     places = [("landed", root), ("missing", f"{root}-missing")]
-    found = [(name, transactions.data_available(spark, path, multi_line=False)) for name, path in places]
-    return spark.createDataFrame(found, "place string, available boolean")
+    found = [
+        spark.range(1).select(
+            F.lit(name).alias("place"), F.lit(transactions.data_available(spark, path, multi_line=False)).alias("available")
+        )
+        for name, path in places
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 # Cleaning
@@ -210,6 +216,24 @@ def dedup_line_items(spark, folder):
     )
 
 
+FIRST_LANDING = "2024-01-15"
+
+
+@query
+def dedup_across_days(spark, folder):
+    """Two landings, each free of repeats: what the first has brought is not taken from the second again."""
+    cleaned = _cleaned(spark, folder)
+    landed = LandedIds(scratch_path(spark, "landed-ids"))
+    early = F.col("landing_date") <= F.lit(FIRST_LANDING).cast("date")
+    kept = []
+    for day, part in ((FIRST_LANDING, cleaned.filter(early)), (JOB_DATE, cleaned.filter(~early))):
+        deduped, _ = files.stage(dedup_transactions(part, order_by=DEDUP_ORDER), "landing")
+        fresh = landed.unseen(deduped, day)
+        landed.record(fresh, day)
+        kept.append(fresh.select("transaction_id", "ingest_seq", "landing_date"))
+    return reduce(DataFrame.unionByName, kept)
+
+
 # Validation
 
 
@@ -369,26 +393,31 @@ def _staged_summaries(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return metrics.comprehensive_summary(valid, rollup, day)
 
 
-# The transaction count column of each summary.
-_COUNTS = {
-    "daily_merchant_summary": "total_transactions",
-    "risk_metrics": "transaction_velocity",
-    "hourly_patterns": "hourly_transactions",
-    "currency_breakdown": "currency_transactions",
-    "merchant_kpis": "transaction_count",
-}
+SUMMARY_KEYS = ["merchant_id", "transaction_date", "part"]
+
+
+def _long(summaries: dict[str, DataFrame]) -> DataFrame:
+    """All summaries in one frame: keys, measure, and its value as text."""
+    frames = []
+    for name, frame in summaries.items():
+        if name == "daily_merchant_summary":
+            frame = _naive_times(_summary(frame), "first_transaction_time", "last_transaction_time")
+            frame = frame.withColumn("std_transaction_amount", F.col("std_transaction_amount").cast("decimal(18,6)"))
+            frame = frame.withColumn("avg_data_quality_score", F.col("avg_data_quality_score").cast("decimal(3,2)"))
+        if name == "merchant_kpis":
+            frame = frame.withColumn("data_quality_score", F.col("data_quality_score").cast("decimal(3,2)"))
+        part = {"hourly_patterns": "transaction_hour", "currency_breakdown": "currency"}.get(name)
+        frame = frame.withColumn("part", F.col(part).cast("string") if part else F.lit("")).drop(*([part] if part else []))
+        measures = [c for c in frame.columns if c not in SUMMARY_KEYS]
+        text = frame.select(*SUMMARY_KEYS, *[F.col(c).cast("string").alias(c) for c in measures])
+        frames.append(text.unpivot(SUMMARY_KEYS, measures, "measure", "value").withColumn("summary", F.lit(name)))
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query
 def comprehensive_summary(spark, folder):
-    """Rows and transactions of each summary, which must all agree."""
-    totals = [
-        frame.agg(F.count(F.lit(1)).alias("rows"), F.sum(_COUNTS[name]).alias("transactions")).select(
-            F.lit(name).alias("summary"), "rows", "transactions"
-        )
-        for name, frame in _staged_summaries(spark, folder).items()
-    ]
-    return reduce(DataFrame.unionByName, totals)
+    """The full contents of all summaries."""
+    return _long(_staged_summaries(spark, folder))
 
 
 @query

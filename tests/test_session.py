@@ -8,7 +8,7 @@ from tallyhouse.workload.queries import QUERIES
 
 # These write to the scratch folder while they are built; their parts are covered elsewhere.
 EAGER = {n for n in QUERIES if n.startswith(("json_", "daily_job_", "parquet_by"))} | {
-    "comprehensive_summary", "merchant_performance_overview",
+    "comprehensive_summary", "merchant_performance_overview", "dedup_across_days",
 }
 
 
