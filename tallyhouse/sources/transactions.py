@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.sources.json_records import json_records
 from tallyhouse.schema import (
     CORRUPT_RECORD,
     IS_CORRUPT,
@@ -24,30 +25,41 @@ PARTITION_COLUMNS = ["year", "month", "day"]
 
 
 def read_transactions(
-    spark: SparkSession, path: str, multi_line: bool = True, base_path: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = True,
+    base_path: str | None = None,
+    file_col: str | None = None,
 ) -> DataFrame:
     """JSON transactions with the fixed schema and an ``is_corrupt`` flag.
 
-    A field that does not parse becomes NULL. A file that does not parse at all becomes
-    one row of NULLs with ``is_corrupt`` set; the raw text is dropped here because it
-    holds card numbers. One bad field in a multi-line array marks the text of every row
-    in it as corrupt, so the flag asks for all fields to be NULL as well.
+    A field that does not parse becomes NULL. A record that does not parse at all becomes a
+    row of NULLs with ``is_corrupt`` set; its raw text is dropped here because it holds card
+    numbers. One bad field marks a record's text as corrupt, so the flag asks for all fields
+    to be NULL as well.
 
-    A multi-line file is one task whatever its size. Pass ``multi_line=False`` for JSON
-    Lines, which Spark splits.
+    Files may hold arrays, single objects or objects in a row; ``json_records`` splits them
+    at a check of the text for records that need putting together. Pass ``multi_line=False``
+    for JSON Lines, which Spark reads in a single pass. ``file_col`` adds the file of each record.
     """
     schema = T.StructType([*TRANSACTION_SCHEMA.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
-    reader = (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("timestampFormat", TIMESTAMP_FORMAT)
-        .option("timeZone", "UTC")
-    )
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    raw = reader.json(path)
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT_RECORD,
+        "timestampFormat": TIMESTAMP_FORMAT,
+        "timeZone": "UTC",
+    }
+    if multi_line:
+        records = json_records(spark, path, base_path, file_col)
+        parsed = records.withColumn("_parsed", F.from_json("record", schema, options))
+        raw = parsed.select("_parsed.*", *[c for c in records.columns if c != "record"])
+    else:
+        reader = spark.read.schema(schema).options(**options)
+        if base_path:
+            reader = reader.option("basePath", base_path)
+        raw = reader.json(path)
+        if file_col:
+            raw = raw.withColumn(file_col, F.col("_metadata.file_path"))
     nothing_read = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in TRANSACTION_FIELDS])
     return raw.withColumn(IS_CORRUPT, nothing_read & F.col(CORRUPT_RECORD).isNotNull()).drop(CORRUPT_RECORD)
 

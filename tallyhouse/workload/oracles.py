@@ -285,6 +285,13 @@ ORACLES: dict[str, str] = {
     ),
     "json_one_day": _from_raw(f"SELECT {_JSON_FIELDS} FROM raw WHERE landing_date = DATE '2024-01-15'"),
     "json_date_range": _from_raw(f"SELECT {_JSON_FIELDS} FROM raw WHERE {_RANGE}"),
+    "json_multi_line": _from_raw(f"SELECT {_JSON_FIELDS} FROM raw"),
+    "json_local_day": _from_raw(f"SELECT {_JSON_FIELDS} FROM raw WHERE landing_date = DATE '2024-01-15'"),
+    "json_range_zone_map": _from_raw(
+        f"""SELECT {_JSON_FIELDS} FROM (
+            SELECT * REPLACE (CASE WHEN ingest_seq % 50 = 7 THEN timestamp - INTERVAL 14 DAY ELSE timestamp END AS timestamp) FROM raw
+        ) WHERE {_RANGE}"""
+    ),
     "trim_strings": _from_raw(
         f"SELECT * REPLACE ({', '.join(f'trim({c}) AS {c}' for c in _TEXT)}) FROM raw"
     ),

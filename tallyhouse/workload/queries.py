@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules as R
@@ -14,12 +15,13 @@ from tallyhouse.operators import validation as V
 from tallyhouse.operators.dedup import dedup_transactions
 from tallyhouse.plans.daily_run import process_transactions
 from tallyhouse.plans.result_views import register_views
-from tallyhouse.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA
+from tallyhouse.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA, WRITTEN_TIMESTAMP_FORMAT
 from tallyhouse.session import scratch_path, size_shuffles
 from tallyhouse.sinks import files, jdbc
 from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sources import transactions
+from tallyhouse.sources.zone_map import read_mapped_range, write_zone_map
 from tallyhouse.sources.event_tables import DEDUP_ORDER, read_event_transactions, table, transactions_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,8 +91,11 @@ def read_date_range(spark, folder):
 
 
 def _landed_json(spark: SparkSession, folder: str) -> str:
+    return _landed(spark, _raw(spark, folder))
+
+
+def _landed(spark: SparkSession, raw: DataFrame) -> str:
     """Raw transactions as JSON Lines below ``year=/month=/day=``, as producers deliver them."""
-    raw = _raw(spark, folder)
     landed = F.col("landing_date")
     delivered = raw.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA],
@@ -114,6 +119,46 @@ def json_one_day(spark, folder):
     return _naive_times(raw.select(*TRANSACTION_FIELDS), "timestamp")
 
 
+@query
+def json_multi_line(spark, folder):
+    """Every day as one JSON array in a single file, without line breaks, read by many tasks."""
+    raw = _raw(spark, folder).select("landing_date", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA])
+    fields = F.struct(*TRANSACTION_FIELDS)
+    record = F.to_json(fields, {"timestampFormat": WRITTEN_TIMESTAMP_FORMAT, "timeZone": "UTC"})
+    # Rows of a day are written in a row by one task: the first opens the array, the last closes it.
+    day = Window.partitionBy("landing_date").orderBy("record")
+    rows = raw.select("landing_date", record.alias("record")).withColumns(
+        {"place": F.row_number().over(day), "total": F.count(F.lit(1)).over(Window.partitionBy("landing_date"))}
+    )
+    opened = F.concat(F.when(F.col("place") == 1, "[").otherwise(","), "record")
+    text = F.concat(opened, F.when(F.col("place") == F.col("total"), "]").otherwise(""))
+    root = scratch_path(spark, "arrays")
+    ordered = rows.withColumn("value", text).repartition("landing_date").sortWithinPartitions("landing_date", "place")
+    ordered.select("landing_date", "value").write.option("lineSep", " ").partitionBy("landing_date").text(root)
+    raw = transactions.read_transactions(spark, root)
+    return _naive_times(raw.select(*TRANSACTION_FIELDS), "timestamp")
+
+
+@query
+def json_local_day(spark, folder):
+    """One day under a name of its own, as the local mode has it."""
+    root, day = scratch_path(spark, "local-days"), dt.date(*ONE_DAY)
+    raw = _raw(spark, folder).filter(F.col("landing_date") == F.lit(day))
+    files.write_json(raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA]), f"{root}/{day:%Y_%m_%d}.json")
+    raw = transactions.read_by_date(spark, root, *ONE_DAY, mode="local")
+    return _naive_times(raw.select(*TRANSACTION_FIELDS), "timestamp")
+
+
+@query
+def json_range_zone_map(spark, folder):
+    """A range of times where one record in fifty landed two weeks late; files outside the range are not read."""
+    late = F.when(F.col("ingest_seq") % 50 == 7, F.col("timestamp") - F.expr("INTERVAL 14 DAYS")).otherwise(F.col("timestamp"))
+    root = _landed(spark, _raw(spark, folder).withColumn("timestamp", late))
+    zones = scratch_path(spark, "zones")
+    write_zone_map(spark, root, zones, multi_line=False)
+    return _naive_times(read_mapped_range(spark, root, zones, *RANGE, multi_line=False).select(*TRANSACTION_FIELDS), "timestamp")
+
+
 @query
 def json_date_range(spark, folder):
     root = _landed_json(spark, folder)
