@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,28 @@ class Contract:
             guarded[column] = F.when(F.coalesce(condition, F.lit(True)), value).otherwise(failure)
         return frame.withColumns(guarded) if guarded else frame
 
+    def breaches(self, df: DataFrame, lengths: bool = False) -> DataFrame:
+        """(table, breach, rows): every rule with the rows that break it, and repeated keys with the rows too many.
+
+        Nothing is raised and nothing collected. Rules are counted in one aggregate. For keys, each
+        map task sends one row per key it holds, and the counts of all partitions meet by key; rows
+        of a key that is not whole are the null rule's matter.
+        """
+        rules = {
+            label: F.count_if(~F.coalesce(condition, F.lit(True))) for label, (_, condition) in self._conditions(lengths).items()
+        }
+        found = []
+        if rules:
+            counted = df.agg(F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("k"), n.alias("n")) for k, n in rules.items()])).alias("rules"))
+            found.append(counted.select(F.explode("rules").alias("breach", "rows")))
+        if self.key:
+            whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.key])
+            keys = df.where(whole).groupBy(*self.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            found.append(keys.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows")).select(F.lit("key is repeated").alias("breach"), "rows"))
+        if not found:
+            raise ValueError(f"{self.table} has no rules")
+        return reduce(DataFrame.unionByName, found).select(F.lit(self.table).alias("table"), "breach", "rows")
+
     def check(self, df: DataFrame, lengths: bool = False) -> None:
         """Audit a table: count the breaches of every rule, then look for repeated keys."""
         counts = [
@@ -255,3 +278,9 @@ SUMMARY_CONTRACTS = {
     c.table: c
     for c in (DAILY_MERCHANT_SUMMARY, RISK_METRICS, HOURLY_PATTERNS, CURRENCY_BREAKDOWN, MERCHANT_KPIS)
 }
+
+
+def contract_audit(tables: dict[Contract, DataFrame], lengths: bool = False) -> DataFrame:
+    """All breaches of all ``tables`` in one frame; a stored table is audited over all its partitions."""
+    found = reduce(DataFrame.unionByName, [contract.breaches(frame, lengths) for contract, frame in tables.items()])
+    return found.where("rows > 0")

@@ -249,6 +249,15 @@ def hourly_patterns(df: DataFrame) -> DataFrame:
     return _breakdown(_measured(df, HOURLY_KEYS), HOURLY_KEYS, "hourly")
 
 
+def hourly_partials(df: DataFrame) -> DataFrame:
+    """Additive measures per merchant, date and hour; ``hourly_from_partials`` folds any number of them."""
+    return _measured(df, HOURLY_KEYS)
+
+
+def hourly_from_partials(partials: DataFrame) -> DataFrame:
+    return _breakdown(_refolded(partials, HOURLY_KEYS), HOURLY_KEYS, "hourly")
+
+
 def currency_breakdown(df: DataFrame) -> DataFrame:
     return _breakdown(_measured(df, CURRENCY_KEYS), CURRENCY_KEYS, "currency")
 

@@ -366,6 +366,7 @@ ORACLES: dict[str, str] = {
     "currency_breakdown": _from_valid("SELECT * FROM by_currency", _CURRENCY),
     "merchant_kpis": _from_valid("SELECT * FROM kpis", _KPIS),
     "comprehensive_summary": _from_valid(_LONG, _DAILY, _RISK, _HOURLY, _CURRENCY, _KPIS),
+    "incremental_summaries": _from_valid(_LONG, _DAILY, _RISK, _HOURLY, _CURRENCY, _KPIS),
     "daily_transaction_summary": _from_valid("SELECT * FROM by_day ORDER BY transaction_date DESC", _BY_DAY),
     "data_quality_summary": _from_flagged(f"SELECT {_QUALITY} FROM flagged"),
     "merchant_performance_overview": _from_valid(
@@ -438,6 +439,22 @@ ORACLES: dict[str, str] = {
     ),
     "data_availability": """SELECT 'landed' AS place, count(*) > 0 AS available FROM events
         UNION ALL SELECT 'missing', false""",
+    "contract_audit": _from_valid(
+        """SELECT * FROM (
+        SELECT 'processed_transactions' AS "table", 'merchant_id is null' AS breach, count(*) AS rows FROM spoiled WHERE merchant_id IS NULL
+        UNION ALL SELECT 'processed_transactions', 'location is too long', count(*) FROM spoiled WHERE length(location) > 100
+        UNION ALL SELECT 'processed_transactions', 'key is repeated', count(*) - count(DISTINCT transaction_id) FROM spoiled
+        UNION ALL SELECT 'risk_metrics', 'risk level is unknown', count(*) FROM risk WHERE transaction_velocity % 5 = 2
+        UNION ALL SELECT 'hourly_patterns', 'hour is outside 0-23', count(*) FROM hourly WHERE transaction_hour = 13
+        UNION ALL SELECT 'currency_breakdown', 'key is repeated', count(*) - count(DISTINCT (merchant_id, transaction_date))
+            FROM by_currency WHERE currency IN ('GBP', 'EUR')
+        ) WHERE rows > 0""",
+        _RISK, _HOURLY, _CURRENCY,
+        """spoiled AS (
+        SELECT transaction_id, CASE WHEN ingest_seq % 103 <> 0 THEN merchant_id END AS merchant_id,
+            CASE WHEN ingest_seq % 97 = 0 THEN repeat(location, 40) ELSE location END AS location
+        FROM (SELECT * FROM valid UNION ALL SELECT * FROM valid WHERE ingest_seq % 101 = 0))""",
+    ),
     "daily_job_views": _from_valid(
         """SELECT transaction_date, volume_category, risk_level, count(*) AS merchants,
             CAST(sum(total_transactions) AS BIGINT) AS transactions

@@ -9,11 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhouse import contracts
+from tallyhouse.contracts import SUMMARY_CONTRACTS
 from tallyhouse.functions import rules as R
 from tallyhouse.operators import cleaning, masking, metrics, reports
 from tallyhouse.operators import validation as V
 from tallyhouse.operators.dedup import dedup_transactions
-from tallyhouse.plans.daily_run import process_transactions
+from tallyhouse.plans.daily_run import process_transactions, processed_rows
+from tallyhouse.plans.incremental import SummaryStore
 from tallyhouse.plans.result_views import register_views
 from tallyhouse.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA, WRITTEN_TIMESTAMP_FORMAT
 from tallyhouse.session import scratch_path, size_shuffles
@@ -465,6 +468,17 @@ def comprehensive_summary(spark, folder):
     return _long(_staged_summaries(spark, folder))
 
 
+@query
+def incremental_summaries(spark, folder):
+    """All summaries after two runs: the second brings a third of the records, of the same days and others."""
+    valid, _ = files.stage(_valid(spark, folder), "valid")
+    store = SummaryStore(scratch_path(spark, "summary-store"))
+    late = F.col("ingest_seq") % 3 == 1
+    store.update(valid.filter(~late), FIRST_LANDING)
+    store.update(valid.filter(late), JOB_DATE)
+    return _long({name: store.read(spark, name) for name in SUMMARY_CONTRACTS})
+
+
 @query
 def daily_transaction_summary(spark, folder):
     return reports.daily_transaction_summary(_valid(spark, folder))
@@ -579,6 +593,39 @@ def daily_job_run_log(spark, folder):
     return log.select("processing_date", "pipeline_mode", "status", "records_processed", "records_valid", "records_invalid")
 
 
+def _spoiled(frames: dict[contracts.Contract, DataFrame]) -> dict[contracts.Contract, DataFrame]:
+    """The tables with breaches at fixed rates: repeated keys, missing, unknown and impossible values, long texts."""
+    spoil = {
+        contracts.PROCESSED: {
+            "merchant_id": "CASE WHEN ingest_seq % 103 = 0 THEN NULL ELSE merchant_id END",
+            "location": "CASE WHEN ingest_seq % 97 = 0 THEN repeat(location, 40) ELSE location END",
+        },
+        contracts.RISK_METRICS: {"risk_level": "CASE WHEN transaction_velocity % 5 = 2 THEN 'ODD' ELSE risk_level END"},
+        contracts.HOURLY_PATTERNS: {"transaction_hour": "CASE WHEN transaction_hour = 13 THEN 24 ELSE transaction_hour END"},
+        contracts.CURRENCY_BREAKDOWN: {"currency": "CASE WHEN currency = 'GBP' THEN 'EUR' ELSE currency END"},
+    }
+    repeat = {contracts.PROCESSED: "ingest_seq % 101 = 0"}
+    spoiled = {}
+    for contract, frame in frames.items():
+        frame = frame.unionByName(frame.where(repeat[contract])) if contract in repeat else frame
+        spoiled[contract] = frame.withColumns({c: F.expr(e) for c, e in spoil[contract].items()})
+    return spoiled
+
+
+@query
+def contract_audit(spark, folder):
+    """All breaches of tables that were spoiled at fixed rates."""
+    valid, _ = files.stage(_valid(spark, folder), "valid")
+    hashed = processed_rows(masking.mask_card_number(valid)).withColumn("created_at", F.lit(RETENTION_NOW).cast("timestamp"))
+    tables = {
+        contracts.PROCESSED: hashed,
+        contracts.RISK_METRICS: metrics.risk_metrics(valid),
+        contracts.HOURLY_PATTERNS: metrics.hourly_patterns(valid),
+        contracts.CURRENCY_BREAKDOWN: metrics.currency_breakdown(valid),
+    }
+    return contracts.contract_audit(_spoiled(tables), lengths=True)
+
+
 @query
 def daily_job_views(spark, folder):
     """SQL text over the stored results of a run."""
