@@ -7,6 +7,7 @@ many stretches which share one gram ask once and only the places at which a bloc
 are compared. Grams found in a single document are dropped first. Hits are then extended to
 maximal exact repeats: a hit stands for the windows that hold it, their names are ranked by Spark,
 and where the same block goes on differently the windows are split up until single ones decide.
+Grams and blocks go by fingerprints, which only propose; a repeat is named by a keyed hash of its words.
 
 Defined results: words are runs of bytes other than ASCII white space; a null text has none; texts
 shorter than a window lose nothing; of rows with one id neither counts as earlier; rows without an
@@ -16,6 +17,7 @@ id lose nothing and take nothing from others; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import secrets
 
 import numpy as np
 import pyarrow as pa
@@ -23,21 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import drop_staged, staged
-from tallyhouse.llm.repeats import UNIT, Repeats, documents, longs, marked, per_document, with_ranges, word_symbols
+from tallyhouse.llm.repeats import UNIT, Repeats, Words, documents, longs, marked, per_document, spaced_words, with_ranges, word_symbols
 from tallyhouse.llm.rolling import Rolling, anchors, covered, mix, segments
 
 GRAM = 6
 
 
-def _cut(text: bytes, start: np.ndarray, length: np.ndarray) -> list[bytes]:
-    symbols = word_symbols(text).symbols
-    return [symbols[a : a + n].tobytes() for a, n in zip(start.tolist(), length.tolist(), strict=True)]
-
-
-def _symbols(content: bytes) -> np.ndarray:
-    return np.frombuffer(content, np.uint64)
-
-
 def _grams(symbols: np.ndarray, block: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every stretch of ``block`` words the place of its least gram; the distinct places and their grams."""
     places, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
@@ -83,21 +76,22 @@ def hits(found: DataFrame) -> DataFrame:
     return candidates.select("id", "h", (F.col("place") - F.col("offset")).alias("start"))
 
 
-def units_at_hits(docs: DataFrame, found: DataFrame, window: int, block: int, gram: int) -> DataFrame:
+def units_at_hits(docs: DataFrame, found: DataFrame, window: int, block: int, key: bytes) -> DataFrame:
     """The unit of every hit: the windows that hold the stretch, with the stretch as their core."""
     wanted = found.groupBy("id", "h").agg(F.collect_list("start").alias("starts"))
     wanted = wanted.select(F.col("id").alias("wanted_id"), F.col("h").alias("wanted_h"), "starts")
     same = (docs["id"] == wanted["wanted_id"]) & (docs["h"] == wanted["wanted_h"])
 
     def compute(row):
-        symbols = word_symbols(row["text"]).symbols
-        rolling = Rolling(symbols)
+        words = spaced_words(row["text"])
+        symbols, rolling = words.symbols, Rolling(words.symbols)
         at = np.unique(np.array(row["starts"], np.int64))
         at = at[at + block <= len(symbols)]
         start = np.maximum(at - (window - block), 0)
         count = np.minimum(at, len(symbols) - window) - start + 1
         at, start, count = at[count > 0], start[count > 0], count[count > 0]
-        return mix(rolling.of(at, block)), covered(rolling, start, count, at - start, window), start, count, at - start
+        full = covered(words.contents(start, count + (window - 1)), count, at - start, key)
+        return mix(rolling.of(at, block)), full, start, count, at - start
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, h long, core long, full long, start long, count long, shift long"
@@ -113,8 +107,10 @@ def repeated_words(docs: DataFrame, window: int) -> DataFrame:
     found = staged(probes(known, window, block, gram), "block-probes")
     asked = staged(hits(found), "block-hits")
     drop_staged(found)
-    units = staged(units_at_hits(known, asked, window, block, gram), "block-units")
-    return Repeats(window, _cut, _symbols, (5, 1) if block > 5 else (1,), earlier=True, symbol_bytes=8).repeated(units, known)
+    key = secrets.token_bytes(16)
+    units = staged(units_at_hits(known, asked, window, block, key), "block-units")
+    sizes = (5, 1) if block > 5 else (1,)
+    return Repeats(window, spaced_words, Words.joined, key, sizes, earlier=True).repeated(units, known)
 
 
 def block_dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,8 +2,9 @@
 
 A unit is a stretch of consecutive window starts with two names: ``core`` for the symbols that all
 its windows share and ``full`` for everything they cover. Equal windows lie at equal places of
-units with equal cores. So units whose core is unique are dropped; units that share their full name
-are repeated throughout; only where one core goes with several full names is it open which windows
+units with equal cores. So units whose core is unique are dropped; units that share both names
+are repeated throughout, as the full name is a keyed hash of the bytes themselves and both together
+have 128 bits; only where one core goes with several full names is it open which windows
 are repeated, and then one unit of each full name is cut into smaller ones and ranked again, down
 to single windows. All counting, joining and ranking of names is done by Spark; tasks only compute
 the names of the text in front of them.
@@ -35,10 +36,42 @@ class Words:
     symbols: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    text: bytes = b""
 
+    def contents(self, start: np.ndarray, length: np.ndarray) -> Iterator[bytes]:
+        """The text from the first to the last word of each stretch."""
+        for a, b in zip(self.first[start].tolist(), self.last[start + length - 1].tolist(), strict=True):
+            yield self.text[a:b]
 
-def byte_symbols(text: bytes) -> np.ndarray:
-    return _BYTE[np.frombuffer(text, np.uint8)]
+    @staticmethod
+    def joined(pieces: list[bytes]) -> tuple[Words, np.ndarray]:
+        """The words of contents in a row, and the number of words of each."""
+        return word_symbols(b" ".join(pieces)), np.array([piece.count(b" ") + 1 for piece in pieces], np.int64)
+
+
+@dataclass
+class Bytes:
+    """The bytes of a text as symbols."""
+
+    symbols: np.ndarray
+    text: bytes
+
+    def contents(self, start: np.ndarray, length: np.ndarray) -> Iterator[bytes]:
+        for a, n in zip(start.tolist(), length.tolist(), strict=True):
+            yield self.text[a : a + n]
+
+    @staticmethod
+    def joined(pieces: list[bytes]) -> tuple[Bytes, np.ndarray]:
+        return byte_symbols(b"".join(pieces)), np.fromiter(map(len, pieces), np.int64, len(pieces))
+
+
+def byte_symbols(text: bytes) -> Bytes:
+    return Bytes(_BYTE[np.frombuffer(text, np.uint8)], text)
+
+
+def spaced_words(text: bytes) -> Words:
+    """The words of a text with one space between them, so that equal words have equal contents."""
+    return word_symbols(b" ".join(text.split()))
 
 
 def word_symbols(text: bytes, separators: np.ndarray = _SPACE) -> Words:
@@ -49,7 +82,7 @@ def word_symbols(text: bytes, separators: np.ndarray = _SPACE) -> Words:
     first, last = edges[::2], edges[1::2]
     length = last - first
     symbols = mix(Rolling(_BYTE[octets]).of(first, length) + mix(length.astype(np.uint64)))
-    return Words(symbols, first, last)
+    return Words(symbols, first, last, text)
 
 
 def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -97,17 +130,18 @@ UNIT = ["core", "full", "start", "count", "shift"]
 class Repeats:
     """How units of one kind of text are read, refined and judged.
 
-    ``cut`` takes stretches (start, length) of symbols out of a text, as bytes; ``symbols`` makes
-    symbol hashes of such bytes, one of every ``symbol_bytes``. ``sizes`` are the lengths of smaller units, ending with 1. With
+    ``read`` makes symbols of a text; contents of its stretches, joined in a row, are read by the
+    ``joined`` of its class. ``sizes`` are the lengths of smaller units, ending with 1. With
     ``earlier`` a window is repeated if a row of a smaller id has it, else if it starts anywhere else.
+    ``key`` is that of all full names of the run.
     """
 
     window: int
-    cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]]
-    symbols: Callable[[bytes], np.ndarray]
+    read: Callable[[bytes], Words | Bytes]
+    joined: Callable[[list[bytes]], tuple[Words | Bytes, np.ndarray]]
+    key: bytes
     sizes: tuple[int, ...] = (10, 1)
     earlier: bool = False
-    symbol_bytes: int = 1
 
     def repeated(self, units: DataFrame, docs: DataFrame) -> DataFrame:
         """(id, h, start, count) of repeated windows, from staged ``units`` (id, h and the columns of a unit)."""
@@ -121,11 +155,11 @@ class Repeats:
         live = staged(units.join(cores.where("n > 1").drop("n"), "core"), "live-units")
         drop_staged(units)
         first = F.min(F.struct("id", *owner, "start", "count", "shift")).alias("first")
-        ranks = live.groupBy("full").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("mixed").alias("mixed"), first)
+        ranks = live.groupBy("core", "full").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("mixed").alias("mixed"), first)
         ranks = staged(ranks, "unit-classes")
         whole = F.coalesce(F.col("least") < F.col("id"), F.lit(False)) if self.earlier else F.col("n") > 1
-        judged = live.drop("core", "shift", "mixed").join(ranks.drop("first"), "full").withColumn("whole", whole)
-        judged = staged(judged.where("whole OR mixed").drop("n", "least", "mixed"), "judged-units")
+        judged = live.drop("shift", "mixed").join(ranks.drop("first"), ["core", "full"]).withColumn("whole", whole)
+        judged = staged(judged.where("whole OR mixed").drop("core", "n", "least", "mixed"), "judged-units")
         drop_staged(live)
         return judged, ranks.where("mixed").select("full", "first.*")
 
@@ -158,7 +192,7 @@ class Repeats:
                     units = batch.column("units")[i].values
                     full, start, count, shift = (units.field(k) for k in range(4))
                     lengths = count.to_numpy() + (self.window - 1)
-                    found = self.cut(batch.column("text")[i].as_py(), start.to_numpy(), lengths)
+                    found = list(self.read(batch.column("text")[i].as_py()).contents(start.to_numpy(), lengths))
                     ids = pa.array([batch.column("id")[i].as_py()] * len(found), batch.schema.field("id").type)
                     zero = pa.array(np.zeros(len(found), np.int64))
                     columns = [full, ids, zero, count, shift, zero, pa.array(found, pa.binary())]
@@ -181,8 +215,8 @@ class Repeats:
             for batch in batches:
                 # All contents of a batch in a row: fingerprints do not depend on the place.
                 pieces = batch.column("content").to_pylist()
-                rolling = Rolling(self.symbols(b"".join(pieces)))
-                sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.symbol_bytes
+                text, sizes = self.joined(pieces)
+                rolling = Rolling(text.symbols)
                 base = np.cumsum(sizes) - sizes
                 lo, n, shift = (batch.column(c).to_numpy() for c in ("start", "count", "shift"))
                 anchor = lo + shift
@@ -195,7 +229,7 @@ class Repeats:
                 apart = anchor[row] - start
                 place = mix((edges - anchor[row] + (1 << 24)).astype(np.uint64))
                 core = mix(rolling.of(base[row] + edges + (size - 1), window - size + 1) + place)
-                full = covered(rolling, base[row] + start, count, apart, window)
+                full = covered(text.contents(base[row] + start, count + (window - 1)), count, apart, self.key)
                 carried = [batch.column(c).take(pa.array(row)) for c in ("owner", "id")]
                 yield pa.RecordBatch.from_arrays([*carried, *longs(core, full, start - lo[row], count, apart)], names)
 

@@ -1,7 +1,13 @@
-"""Rolling fingerprints of symbol sequences, and runs of windows around shared anchors."""
+"""Rolling fingerprints of symbol sequences, and runs of windows around shared anchors.
+
+Fingerprints modulo 2^64 are cheap, but unequal sequences with one fingerprint are easy to construct.
+They only choose anchors and propose what may be equal; what counts as equal is named by a keyed
+BLAKE2 hash of the content itself.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,22 +89,27 @@ def segments(symbols: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray
         yield at, symbols[at : at + SEGMENT + window - 1]
 
 
-def covered(rolling: Rolling, start: np.ndarray, count: np.ndarray, shift: np.ndarray, window: int) -> np.ndarray:
-    """Name of all that ``count`` windows from ``start`` on cover, and of their places about the anchor."""
+def covered(contents: Iterator[bytes], count: np.ndarray, shift: np.ndarray, key: bytes) -> np.ndarray:
+    """Name of all that ``count`` windows cover (their ``contents``), and of their places about the anchor.
+
+    With a ``key`` that is drawn anew for each run nobody can prepare texts that share a name.
+    """
+    hashes = b"".join([hashlib.blake2b(content, digest_size=8, key=key).digest() for content in contents])
     shape = ((shift + (1 << 24)) << 26 | count).astype(np.uint64)
-    return mix(rolling.of(start, count + (window - 1)) + mix(shape))
+    return mix(np.frombuffer(hashes, np.uint64) + mix(shape))
 
 
-def window_runs(symbols: np.ndarray, window: int, gram: int, width: int) -> tuple[np.ndarray, ...]:
+def window_runs(text, window: int, gram: int, width: int, key: bytes) -> tuple[np.ndarray, ...]:
     """Starts of all windows, gathered into runs with one anchor: (core, full, start, count, shift).
 
-    All windows of a run hold the ``window - width + 1`` symbols from the anchor on, whose
-    fingerprint is ``core``. ``full`` stands for everything the run covers and the anchor's place
-    in it: runs with equal ``full`` have equal windows throughout. Two equal windows always lie in
-    runs with equal ``core``, at equal distances from the anchor, which lies ``shift`` after the start.
+    ``text`` has ``symbols`` and ``contents``. All windows of a run hold the ``window - width + 1``
+    symbols from the anchor on, whose fingerprint is ``core``. ``full`` stands for everything the run
+    covers and the anchor's place in it: runs with equal ``full`` have equal windows throughout. Two
+    equal windows always lie in runs with equal ``core``, at equal distances from the anchor, which
+    lies ``shift`` after the start.
     """
     parts = []
-    for at, part in segments(symbols, window):
+    for at, part in segments(text.symbols, window):
         rolling = Rolling(part)
         n = len(part) - window + 1
         anchor = anchors(rolling, gram, width)[:n]
@@ -106,7 +117,7 @@ def window_runs(symbols: np.ndarray, window: int, gram: int, width: int) -> tupl
         count = np.diff(np.append(start, n))
         shift = anchor[start] - start
         core = mix(rolling.of(anchor[start], window - width + 1))
-        full = covered(rolling, start, count, shift, window)
+        full = covered(text.contents(start + at, count + (window - 1)), count, shift, key)
         parts.append((core, full, start + at, count, shift))
     if not parts:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.block_dedup import block_dedup
 from tallyhouse.llm.common import connected_components
 from tallyhouse.llm.exact_dedup import drop_copies, exact_dedup
+from tallyhouse.llm.repeats import byte_symbols, word_symbols
 from tallyhouse.llm.rolling import anchors, Rolling, mix, sliding_minimum
 from tallyhouse.llm.simhash import drop_near_duplicates, near_duplicates, simhash, simhash_components, shingle_hashes
 from tallyhouse.llm.suffix_dedup import suffix_dedup
@@ -229,3 +230,59 @@ def test_sliding_minimum_and_anchors():
     places = anchors(Rolling(symbols), 4, 10)
     moved = anchors(Rolling(symbols[100:]), 4, 10)
     assert (places[100:] - 100 == moved).all()
+
+
+def colliding(hashes: np.ndarray, shift: int, wanted: int) -> list[tuple[int, int]]:
+    """Pairs of places whose hashes agree in all but the top ``shift`` bits."""
+    low = hashes << np.uint64(shift)
+    order = np.argsort(low)
+    at = np.flatnonzero(low[order][1:] == low[order][:-1])[:wanted]
+    return [(int(order[i]), int(order[i + 1])) for i in at]
+
+
+def alternated(one, two, steps: int = 16):
+    """Thue and Morse's sequence of the two, and its opposite: their fingerprints modulo 2^64 differ by little."""
+    signs = [i.bit_count() % 2 for i in range(steps)]
+    return [(one, two)[s] for s in signs], [(two, one)[s] for s in signs]
+
+
+def test_byte_strings_that_share_a_fingerprint_stay(spark):
+    """Texts without a repeat, whose 64 bytes in the middle have one rolling fingerprint."""
+    draw = np.random.default_rng(11)
+    words = draw.integers(33, 127, (12_000_000, 4)).astype(np.uint8)
+    words = np.unique(words.view(np.uint32).ravel()).view(np.uint8).reshape(-1, 4)
+    hashes = Rolling(byte_symbols(words.tobytes()).symbols).of(4 * np.arange(len(words)), 4)
+    pairs = colliding(hashes, 22, 5)
+    assert pairs
+    rows, key = [], 0
+    for one, two in pairs:
+        before, after = ("".join(chr(c) for c in draw.integers(97, 123, 100)) for _ in range(2))
+        middles = ["".join(m) for m in alternated(*(words[i].tobytes().decode() for i in (one, two)))]
+        fingerprints = {int(Rolling(byte_symbols(m.encode()).symbols).of(np.array([0]), 64)[0]) for m in middles}
+        assert len(fingerprints) == 1 and middles[0] != middles[1]
+        rows += [(key := key + 1, before + m + after) for m in middles]
+    found = suffix_dedup(awkward(spark, rows)).collect()
+    assert {(r.id, r.n_removed) for r in found} == {(k, 0) for k, _ in rows}
+
+
+def test_words_that_share_a_fingerprint_stay(spark):
+    """Texts without a repeated passage, whose 32 words in the middle have one rolling fingerprint."""
+    digits = np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz ", np.uint8)
+
+    def letters(numbers):
+        return np.stack([digits[numbers // 36**k % 36] for k in range(5)], axis=1)
+
+    parts = [np.arange(at, at + 2_000_000) for at in range(0, 20_000_000, 2_000_000)]
+    spaced = lambda n: np.concatenate([letters(n), np.full((len(n), 1), 32, np.uint8)], axis=1).tobytes()
+    hashes = np.concatenate([word_symbols(spaced(n)).symbols for n in parts])
+    name = lambda i: letters(np.array([i]))[0].tobytes().decode()
+    rows, key = [], 0
+    for one, two in colliding(hashes, 19, 5):
+        before, after = ([f"v{key}x{i}{c}" for i in range(25)] for c in "ab")
+        middles = alternated(name(one), name(two), 32)
+        fingerprints = {int(Rolling(word_symbols(" ".join(m).encode()).symbols).of(np.array([0]), 32)[0]) for m in middles}
+        assert len(fingerprints) == 1 and middles[0] != middles[1]
+        rows += [(key := key + 1, " ".join(before + m + after)) for m in middles]
+    assert rows
+    found = block_dedup(awkward(spark, rows)).collect()
+    assert {(r.id, r.n_removed) for r in found} == {(k, 0) for k, _ in rows}
