@@ -85,6 +85,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(least, "node", "left").select("node", F.coalesce("m", "node").alias("component"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with a number that makes it none of the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
+
+
 def texts(batch, id_name: str = "id", text_name: str = "text") -> Iterator[tuple]:
     """(id, text as bytes) of an Arrow batch, one at a time; a null text is empty."""
     for key, text in zip(batch.column(id_name), batch.column(text_name), strict=True):

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.llm.common import settings, staged
+from tallyhouse.llm.common import free_name, settings, staged
 from tallyhouse.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -120,13 +120,14 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    key, mark = free_name(docs, "_id"), free_name(docs, "_digest")
     rows = exact_dedup(docs, id_col, text_col).groupBy("id", "digest").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    rows = staged(rows.where("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "n"), "kept-rows")
+    rows = staged(rows.where("kept").select(F.col("id").alias(key), F.col("digest").alias(mark), "n"), "kept-rows")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (sha256_digest(text) == F.col("_digest"))
-    once = docs.join(rows.where("n = 1"), same, "left_semi")
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (sha256_digest(text) == F.col(mark))
+    once = docs.join(rows.where("n = 1").drop("n"), same, "left_semi")
     # Rows that are repeated with their id: one of them.
-    repeated = rows.where("n > 1")
+    repeated = rows.where("n > 1").drop("n")
     if repeated.isEmpty():
         return once
     return once.union(docs.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))

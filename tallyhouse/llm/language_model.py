@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -77,19 +77,21 @@ def _narrowed(counts: np.ndarray, kind: str) -> np.ndarray:
 class SortedArrays:
     """Sorted 64-bit keys with a number each, in one file per range of keys."""
 
-    def __init__(self, folder: str, bits: int, value: str):
+    def __init__(self, folder: str, bits: int, value: str, written: list[int] | None = None):
+        """``written`` are the ranges that have a file; without it every range that is asked for has one."""
         self.folder, self.bits, self.value = folder, bits, np.dtype(value)
+        self.written = None if written is None else set(written)
         self.open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def part(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         if number not in self.open:
-            path = f"{self.folder}/{number}"
-            if os.path.exists(path):
+            if self.written is not None and number not in self.written:
+                self.open[number] = np.empty(0, np.uint64), np.empty(0, self.value)
+            else:  # a file that is not there is an error: the folder is not mounted here
+                path = f"{self.folder}/{number}"
                 size = os.path.getsize(path) // (8 + self.value.itemsize)
                 keys = np.memmap(path, np.uint64, "r", 0, (size,))
                 self.open[number] = keys, np.memmap(path, self.value, "r", 8 * size, (size,))
-            else:
-                self.open[number] = np.empty(0, np.uint64), np.empty(0, self.value)
         return self.open[number]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,6 +192,8 @@ class Model:
     word_discounts: tuple[float, ...] = (0.0, 0.5, 0.5, 0.5)
     word_types: tuple[int, ...] = (0, 0, 0)
     begin: tuple[int, ...] = (0, 0, 0)
+    word_files: list[int] = field(default_factory=list)
+    pair_files: list[int] = field(default_factory=list)
 
 
 def discounts(n: list[int]) -> tuple[float, ...]:
@@ -205,11 +209,12 @@ class Lookup:
 
     def __init__(self, model: Model):
         self.model = model
-        self.vocabulary = SortedArrays(f"{model.folder}/words", model.word_bits, "<i8")
-        self.pairs = SortedArrays(f"{model.folder}/pairs", model.pair_bits, "<u4")
+        self.vocabulary = SortedArrays(f"{model.folder}/words", model.word_bits, "<i8", model.word_files)
+        self.pairs = SortedArrays(f"{model.folder}/pairs", model.pair_bits, "<u4", model.pair_files)
         self.offsets = np.array(model.offsets, np.int64)
-        path = f"{model.folder}/word-stats"
-        self.stats = np.memmap(path, "<u4", "r", 0, (model.words, 4)) if os.path.exists(path) and model.words else np.zeros((1, 4), "<u4")
+        # While pairs are still being counted there are no statistics of words yet.
+        ready = model.words and model.pair_types
+        self.stats = np.memmap(f"{model.folder}/word-stats", "<u4", "r", 0, (model.words, 4)) if ready else np.zeros((1, 4), "<u4")
 
     def ids(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id or -1, training count) of every token."""
@@ -239,7 +244,7 @@ def train(training: DataFrame) -> Model:
     sizes = np.zeros(1 << word_bits, np.int64)
     for row in files.collect():  # one row per file, at most 2^word_bits
         sizes[row["part"]] = row["n"]
-    model = Model(folder, word_bits, 6, (np.cumsum(sizes) - sizes).tolist(), words=int(sizes.sum()))
+    model = Model(folder, word_bits, 6, (np.cumsum(sizes) - sizes).tolist(), words=int(sizes.sum()), word_files=np.flatnonzero(sizes).tolist())
     if model.words > MAX_WORDS:
         raise ValueError("the vocabulary has more words than 32-bit ids")
     model.tokens, model.texts = _totals(files, folder, word_bits)
@@ -291,9 +296,18 @@ def train(training: DataFrame) -> Model:
     model.word_discounts = discounts([n[f"n{k}"] for k in (1, 2, 3, 4)])
     model.word_types = (n["n1"], n["n2"], n["more"])
     _write_word_stats(ordinary, model)
+    model.pair_files = _complete_files(f"{folder}/pairs", 12 * model.pair_types)
     return model
 
 
+def _complete_files(folder: str, size: int) -> list[int]:
+    """The numbers of the files in ``folder``, which must be of ``size`` together: else it is not one folder for all."""
+    found = {int(entry.name): entry.stat().st_size for entry in os.scandir(folder) if entry.name.isdigit()}
+    if sum(found.values()) != size:
+        raise FileNotFoundError(f"{folder} holds {sum(found.values())} bytes of {size}: driver and executors must have it mounted")
+    return sorted(found)
+
+
 def _totals(files: DataFrame, folder: str, bits: int) -> tuple[int, int]:
     """Training tokens and texts: sums of the counts in the word files, and the count of the end token."""
 

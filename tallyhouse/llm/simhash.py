@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import connected_components, drop_staged, id_and_text, staged, texts
+from tallyhouse.llm.common import connected_components, drop_staged, free_name, id_and_text, staged, texts
 from tallyhouse.llm.repeats import longs, per_document, word_symbols
 from tallyhouse.llm.rolling import Rolling, mix
 
@@ -406,5 +406,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each group of near duplicates the rows of the smallest id, with all their columns."""
     groups = near_duplicates(docs, shingle, id_col=id_col, text_col=text_col)
-    gone = groups.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_id")).distinct()
-    return docs.join(staged(gone, "near-duplicates"), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    key = free_name(docs, "_id")
+    gone = groups.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias(key)).distinct()
+    return docs.join(staged(gone, "near-duplicates"), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")

@@ -239,3 +239,38 @@ def test_pipeline(spark, small):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, small).collect()
     assert {r.doc_id for r in packed} == set(left)
     assert {r.doc_id for r in corpus_pipeline.run(spark, small).collect()} == set(left)
+
+
+AWKWARD = "doc_id long, text string, _id long, _digest string, _toxicity double, _leak int, n int, score string, component long"
+
+
+@pytest.mark.parametrize("empty_table", [False, True])
+def test_pipeline_stages_leave_other_columns_alone(spark, small, empty_table):
+    """Whatever the columns are called: rows that stay, stay as they were. Nulls, empty and repeated rows as well."""
+    rows = [(1, None), (2, ""), (3, "one two three four five six"), (3, "one two three four five six"), (4, "one two three four five six")]
+    rows += [(None, "lonely words here and there"), (5, "a clean text " * 40), (6, "another clean text " * 3000)]
+    table = [(key, text, 7, "d", 0.5, 8, 9, "s", 10) for key, text in rows] if not empty_table else []
+    docs = spark.createDataFrame(table, AWKWARD)
+    left = Counter(map(tuple, docs.collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, small)
+        assert kept.columns == docs.columns, name
+        docs = corpus_pipeline.staged(kept, f"awkward-{name}")
+        now = Counter(map(tuple, docs.collect()))
+        assert now <= left, name
+        if name == "exact_dedup":
+            assert {t[1] or "" for t in now} == {t[1] or "" for t in left} and sum(now.values()) == len({t[1] or "" for t in left})
+        left = now
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, small).collect()
+    assert {r.doc_id for r in pieces} == {t[0] for t in left}
+
+
+def test_a_model_whose_files_are_not_there_is_an_error(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"some words of text {i % 3}") for i in range(20)], "doc_id long, text string")
+    _, model = lm.train_and_score(docs, docs)
+    model.folder = str(tmp_path)
+    with pytest.raises(Exception, match="No such file"):
+        lm.score(docs, model).collect()
+    (tmp_path / "pairs").mkdir()
+    with pytest.raises(FileNotFoundError, match="mounted"):
+        lm._complete_files(str(tmp_path / "pairs"), 12)
