@@ -11,7 +11,7 @@ Spark's two-step distinct aggregate, which shuffles on (merchant, date, customer
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import money, scoring, text
@@ -303,6 +303,28 @@ def data_quality_summary(flagged: DataFrame, by: list[str] | None = None, copies
         F.count(F.lit(1)).alias("total_transactions"),
     )
 
+    return with_percentages(counted)
+
+
+QUALITY_COUNTS = ("raw", "valid", "invalid")
+
+
+def quality_measures(copies_col: str = "copies") -> list[Column]:
+    """The counts of ``data_quality_summary`` as measures to observe while flagged rows are written."""
+    measures = F.coalesce(F.sum(copies_col), F.lit(0)), F.count_if("is_valid"), F.count_if(~F.col("is_valid"))
+    return [measure.alias(name) for measure, name in zip(measures, QUALITY_COUNTS, strict=True)]
+
+
+def quality_from_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The row of ``data_quality_summary`` from observed counts, without reading anything."""
+    row = {f"{name}_transactions": counts[name] for name in QUALITY_COUNTS}
+    row["total_transactions"] = counts["valid"] + counts["invalid"]
+    return with_percentages(spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in row.items()]))
+
+
+def with_percentages(counted: DataFrame) -> DataFrame:
+    """Both quality percentages, of 0 rows as 0."""
+
     def percent(whole: str) -> Column:
         hundredths = money.half_up_ratio(F.col("valid_transactions") * 10000, F.col(whole))
         return money.from_cents(F.coalesce(hundredths, F.lit(0)), "decimal(5,2)")

@@ -14,7 +14,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import contracts
@@ -126,16 +126,17 @@ def process_transactions(
     status, scratch = "FAILED", []
     try:
         flagged = flag_transactions(raw, rules, order_by, copies_col=COPIES)
-        staged, path = files.stage(hide_cards(flagged), "flagged", ["is_valid"])
+        seen = Observation()
+        masked = hide_cards(flagged).observe(seen, *metrics.quality_measures(COPIES))
+        staged, path = files.stage(masked, "flagged", ["is_valid"])
         scratch.append(path)
 
         size_shuffles(staged)
+        counts = seen.get
         if landed:
             staged = landed.unseen(staged, day)
-        quality = metrics.data_quality_summary(staged, copies_col=COPIES)
-        quality, path = files.stage(quality, "quality")
-        scratch.append(path)
-        counts = run_counts(quality)
+            counts = run_counts(metrics.data_quality_summary(staged, copies_col=COPIES))
+        quality = metrics.quality_from_counts(spark, counts)
         run = replace(
             run,
             records_processed=counts["raw"],

@@ -425,6 +425,12 @@ ORACLES: dict[str, str] = {
             timestamp, customer_id, location, transaction_date, validation_errors, DATE '2024-01-30' AS date
         FROM flagged WHERE NOT is_valid"""
     ),
+    "retention_run": _from_flagged(
+        f"""SELECT transaction_id, merchant_id, {_MASK} AS card_number_masked, CAST(amount AS DOUBLE) AS amount, currency,
+            timestamp, customer_id, location, transaction_date, validation_errors
+        FROM flagged WHERE NOT is_valid
+        AND NOT coalesce(timestamp < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY, false)"""
+    ),
     "daily_job_quality": _from_flagged(
         f"SELECT DATE '2024-01-30' AS processing_date, {_QUALITY}, DATE '2024-01-30' AS date FROM flagged"
     ),

@@ -18,9 +18,10 @@ from tallyhouse.operators.dedup import dedup_transactions
 from tallyhouse.plans.daily_run import process_transactions, processed_rows
 from tallyhouse.plans.incremental import SummaryStore
 from tallyhouse.plans.result_views import register_views
+from tallyhouse.plans.retention import cleanup_old_data
 from tallyhouse.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA, WRITTEN_TIMESTAMP_FORMAT
 from tallyhouse.session import scratch_path, size_shuffles
-from tallyhouse.sinks import files, jdbc
+from tallyhouse.sinks import files, jdbc, outputs
 from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sources import transactions
@@ -518,6 +519,19 @@ def retention_cleanup(spark, folder):
     return kept.select("transaction_id", "timestamp")
 
 
+@query
+def retention_run(spark, folder):
+    """What is left of stored invalid rows, created when they happened, after the old ones were deleted."""
+    target = OutputTarget(scratch_path(spark, "retention"))
+    invalid = masking.mask_card_number(V.invalid_transactions(_flagged(spark, folder))).withColumn("created_at", F.col("timestamp").cast("timestamp"))
+    stored = contracts.INVALID.enforce(invalid.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
+    day = F.coalesce(F.col("transaction_date"), F.lit(JOB_DATE).cast("date"))
+    files.replace_days(stored.withColumn(files.DAY, F.date_format(day, "yyyy-MM-dd")), target.path(contracts.INVALID))
+    cleanup_old_data(spark, target, RETENTION_DAYS, dt.datetime.fromisoformat(RETENTION_NOW))
+    left = outputs.read_output(spark, target, contracts.INVALID)
+    return _naive_times(_joined(left, "validation_errors"), "timestamp").drop("created_at", files.DAY)
+
+
 # Sinks and the whole job
 
 

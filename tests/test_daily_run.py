@@ -19,6 +19,7 @@ from tallyhouse.plans.retention import cleanup_old_data
 from tallyhouse.session import scratch_path
 from tallyhouse.sinks import outputs
 from tallyhouse.sinks.jdbc import JdbcTarget
+from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
 from tallyhouse.sinks.run_log import read_run_log
 from tallyhouse.sources.event_tables import DEDUP_ORDER, read_event_transactions
@@ -286,3 +287,24 @@ def test_merchant_summary_as_a_table_function(spark, done):
     busiest = spark.sql("SELECT merchant_id, count(*) AS days FROM summary_daily_merchant_summary GROUP BY 1 ORDER BY 2 DESC, 1").first()
     rows = spark.sql(f"SELECT * FROM get_merchant_summary('{busiest.merchant_id}', DATE'2024-01-01', DATE'2024-12-31')")
     assert rows.count() == busiest.days and rows.columns[0] == "merchant_id"
+
+
+def test_records_of_earlier_days_are_not_taken_again(spark, tmp_path):
+    target, landed = OutputTarget(str(tmp_path / "out")), LandedIds(str(tmp_path / "landed"))
+    first = transactions(spark, {"transaction_id": " a "}, {"transaction_id": "bad", "currency": "XXX"})
+    daily_run.process_transactions(first, target, "2025-06-24", landed=landed)
+    # A record that was invalid may be sent again; one that was stored is not taken twice.
+    again = transactions(spark, {"transaction_id": "a"}, {"transaction_id": "bad"}, {"transaction_id": "new"})
+    for _ in range(2):  # and a day can be run again
+        result = daily_run.process_transactions(again, target, "2025-06-25", landed=landed)
+        assert (result.raw_count, result.valid_count, result.invalid_count) == (2, 2, 0)
+    stored = outputs.read_output(spark, target, contracts.PROCESSED).collect()
+    assert sorted((r.transaction_id, str(r.date)) for r in stored) == [("a", "2025-06-24"), ("bad", "2025-06-25"), ("new", "2025-06-25")]
+
+
+def test_observed_counts_are_those_of_the_stored_rows(spark, done):
+    target, result, _ = done
+    row = outputs.read_output(spark, target, contracts.QUALITY_REPORTS).first()
+    stored = [outputs.read_output(spark, target, c).count() for c in (contracts.PROCESSED, contracts.INVALID)]
+    assert [row.valid_transactions, row.invalid_transactions] == stored == [result.valid_count, result.invalid_count]
+    assert row.raw_transactions == result.raw_count and row.total_transactions == sum(stored)

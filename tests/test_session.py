@@ -7,7 +7,7 @@ from tallyhouse.sinks import files
 from tallyhouse.workload.queries import QUERIES
 
 # These write to the scratch folder while they are built; their parts are covered elsewhere.
-EAGER = {n for n in QUERIES if n.startswith(("json_", "daily_job_", "parquet_by"))} | {
+EAGER = {n for n in QUERIES if n.startswith(("json_", "daily_job_", "parquet_by", "retention_run"))} | {
     "comprehensive_summary", "merchant_performance_overview", "dedup_across_days", "incremental_summaries",
 }
 
