@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import privacy
@@ -63,6 +64,30 @@ def generalise_location(df: DataFrame, regions: DataFrame | None = None, other:
     )
 
 
+def generalise_location_k(df: DataFrame, hierarchy: DataFrame, k: int, levels: Sequence[str] = ("region",), top: str = "*") -> DataFrame:
+    """Add ``location_generalized`` so that at least ``k`` rows share every value of it.
+
+    ``hierarchy`` holds (location, *levels), finest level first. A location with ``k`` rows stays; the
+    rest climb a level, and stay where the rows that climbed to one value are ``k``; what still is
+    too rare becomes ``top``, and NULL if even that stands for fewer than ``k`` rows. Rows without a
+    location keep none. Locations that the hierarchy does not know climb straight to the top.
+
+    Everything is decided over one row per location: the rows themselves are read once to be
+    counted, and joined once to their label, by shuffle only if locations are too many to broadcast.
+    """
+    if k < 1:
+        raise ValueError("a group has at least one row")
+    known = hierarchy.groupBy("location").agg(*[F.min(level).alias(level) for level in levels])
+    names = df.where(F.col("location").isNotNull()).groupBy("location").agg(F.count(F.lit(1)).alias("_rows")).join(known, "location", "left")
+    names = names.withColumn("_label", F.lit(None).cast("string"))
+    for value in (F.col("location"), *[F.col(level) for level in levels], F.lit(top)):
+        names = names.withColumn("_value", F.when(F.col("_label").isNull(), value))
+        enough = F.sum("_rows").over(Window.partitionBy("_value")) >= k
+        names = names.withColumn("_label", F.coalesce("_label", F.when(enough, F.col("_value"))))
+    lookup = names.select("location", F.col("_label").alias("location_generalized"))
+    return df.join(lookup, "location", "left").select(*df.columns, "location_generalized")
+
+
 def apply_all_masking(df: DataFrame, salt: str | None = None, separator: str = "") -> DataFrame:
     """Masked card, customer hash and transaction hash; the raw card and customer are gone."""
     return df.withColumns(

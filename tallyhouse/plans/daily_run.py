@@ -29,6 +29,7 @@ from tallyhouse.sinks import files, outputs
 from tallyhouse.sinks.jdbc import write_jdbc
 from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
+from tallyhouse.sinks.relational import write_relational
 from tallyhouse.sinks.run_log import Run, record_run
 from tallyhouse.sources import transactions
 
@@ -85,7 +86,11 @@ def send_to_database(spark: SparkSession, target: OutputTarget, day: str, tables
     for contract in tables:
         stored = outputs.read_output(spark, target, contract).filter(F.col(files.DAY) == day).drop(files.DAY)
         try:
-            write_jdbc(outputs.database_shape(stored, contract), target.jdbc, outputs.database_table(contract))
+            shaped, table = outputs.database_shape(stored, contract), outputs.database_table(contract)
+            if target.relational:
+                write_relational(shaped, target.relational, table, contract.key)
+            else:
+                write_jdbc(shaped, target.jdbc, table)
         except Exception as error:
             log.warning("the database refused %s: %s", contract.table, type(error).__name__)
             failures.append((contract.table, error))
@@ -168,7 +173,7 @@ def process_transactions(
             quality, target, day, run.start_time, seconds, errors
         )
 
-        if target.jdbc:
+        if target.has_database:
             send_to_database(spark, target, day, list(tables))
         if landed:
             landed.record(valid, day)

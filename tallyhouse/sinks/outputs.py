@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyhouse import contracts
 from tallyhouse.contracts import Contract
 from tallyhouse.sinks import files, jdbc
+from tallyhouse.sinks.relational import RelationalTarget
 
 
 PARALLEL_WRITES = 4
@@ -21,11 +22,19 @@ PARALLEL_WRITES = 4
 
 @dataclass(frozen=True)
 class OutputTarget:
-    """A root folder at any URI, a file format, and optionally a relational copy."""
+    """A root folder at any URI, a file format, and optionally a relational copy.
+
+    ``relational`` commits a table at once and can be written again; ``jdbc`` appends task by task.
+    """
 
     root: str
     fmt: str = "parquet"
     jdbc: jdbc.JdbcTarget | None = None
+    relational: RelationalTarget | None = None
+
+    @property
+    def has_database(self) -> bool:
+        return bool(self.jdbc or self.relational)
 
     def path(self, contract: Contract) -> str:
         return f"{self.root.rstrip('/')}/{_FOLDERS[contract.table]}"
@@ -68,7 +77,7 @@ def write_table(
     df: DataFrame, contract: Contract, target: OutputTarget, day: str, empty: bool | None = None
 ) -> DataFrame:
     """Replace the day's partition by ``df``, held to the contract; returns the frame written."""
-    frame = contract.enforce(df, lengths=target.jdbc is not None)
+    frame = contract.enforce(df, lengths=target.has_database)
     files.replace_day(frame, target.path(contract), day, target.fmt, empty)
     return frame
 

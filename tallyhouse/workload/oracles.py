@@ -425,6 +425,24 @@ ORACLES: dict[str, str] = {
             timestamp, customer_id, location, transaction_date, validation_errors, DATE '2024-01-30' AS date
         FROM flagged WHERE NOT is_valid"""
     ),
+    "generalise_location_k": _from_valid(
+        """SELECT ingest_seq, valid.location, label AS location_generalized FROM valid JOIN labels ON labels.location = valid.location""",
+        """counted AS (
+        SELECT location, any_value(r_name) AS region, count(*) AS n
+        FROM valid JOIN nation ON n_name = location JOIN region ON r_regionkey = n_regionkey GROUP BY location
+        ), rare AS (
+        SELECT *, sum(n) OVER (PARTITION BY region) AS of_region FROM counted WHERE n < 320
+        ), labels AS (
+        SELECT location, location AS label FROM counted WHERE n >= 320
+        UNION ALL SELECT location, CASE WHEN of_region >= 320 THEN region
+            WHEN sum(CASE WHEN of_region < 320 THEN n END) OVER () >= 320 THEN '*' END FROM rare)""",
+    ),
+    "daily_job_report": _from_flagged(
+        """SELECT concat('2024-01-30: read ', raw, ', dropped ', raw - valid - invalid, ' repeats, stored ', valid, ' valid (',
+            printf('%.2f', valid / raw * 100), ' % of those read) and ', invalid, ' invalid rows, 5 summary tables') AS report
+        FROM (SELECT CAST(sum(copies) AS BIGINT) AS raw, count(*) FILTER (WHERE is_valid) AS valid,
+            count(*) FILTER (WHERE NOT is_valid) AS invalid FROM flagged)"""
+    ),
     "retention_run": _from_flagged(
         f"""SELECT transaction_id, merchant_id, {_MASK} AS card_number_masked, CAST(amount AS DOUBLE) AS amount, currency,
             timestamp, customer_id, location, transaction_date, validation_errors

@@ -15,7 +15,7 @@ from tallyhouse.functions import rules as R
 from tallyhouse.operators import cleaning, masking, metrics, reports
 from tallyhouse.operators import validation as V
 from tallyhouse.operators.dedup import dedup_transactions
-from tallyhouse.plans.daily_run import process_transactions, processed_rows
+from tallyhouse.plans.daily_run import process_transactions, processed_rows, processing_report
 from tallyhouse.plans.incremental import SummaryStore
 from tallyhouse.plans.result_views import register_views
 from tallyhouse.plans.retention import cleanup_old_data
@@ -374,6 +374,19 @@ def generalise_location_to_region(spark, folder):
     return generalised.select("ingest_seq", "location", "location_generalized")
 
 
+LOCATION_ROWS = 320
+
+
+@query
+def generalise_location_k(spark, folder):
+    """Locations of valid rows, made so coarse that at least 320 rows share each."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    regions = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("location"), F.col("r_name").alias("region")
+    )
+    return masking.generalise_location_k(_valid(spark, folder), regions, LOCATION_ROWS).select("ingest_seq", "location", "location_generalized")
+
+
 @query
 def masked_transactions(spark, folder):
     return masking.apply_all_masking(_valid(spark, folder))
@@ -640,6 +653,14 @@ def contract_audit(spark, folder):
     return contracts.contract_audit(_spoiled(tables), lengths=True)
 
 
+@query
+def daily_job_report(spark, folder):
+    """The run in one line of figures."""
+    target = OutputTarget(scratch_path(spark, "job"))
+    result = process_transactions(_raw(spark, folder), target, JOB_DATE, order_by=DEDUP_ORDER)
+    return spark.range(1).select(F.lit(processing_report(result)).alias("report"))
+
+
 @query
 def daily_job_views(spark, folder):
     """SQL text over the stored results of a run."""

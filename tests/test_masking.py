@@ -85,3 +85,38 @@ def test_region_map_never_multiplies_rows(spark):
     result = masking.generalise_location(df, regions)
     assert sorted(map(str, (r.location_generalized for r in result.collect()))) == ["None", "North", "OTHER"]
     assert result.columns == [*df.columns, "location_generalized"]
+
+
+def labels(spark, rows, k, levels=("region",)):
+    names = {"Oslo": "North", "Bergen": "North", "Rome": "South", "Bari": "South", "Kyiv": "East"}
+    hierarchy = spark.createDataFrame([(a, b, "Europe") for a, b in names.items()], "location string, region string, continent string")
+    df = transactions(spark, *[{"transaction_id": f"{place}{i}", "location": place} for place, n in rows for i in range(n)])
+    made = masking.generalise_location_k(df, hierarchy, k, levels).collect()
+    assert len(made) == sum(n for _, n in rows)
+    return {(r.location, r.location_generalized) for r in made}
+
+
+def test_locations_climb_until_enough_rows_share_them(spark):
+    rows = [("Oslo", 5), ("Bergen", 2), ("Rome", 1), ("Bari", 2), ("Kyiv", 1), ("Atlantis", 2), (None, 4)]
+    assert labels(spark, rows, 3) == {
+        ("Oslo", "Oslo"), ("Bergen", "*"), ("Rome", "South"), ("Bari", "South"), ("Kyiv", "*"), ("Atlantis", "*"), (None, None),
+    }
+    assert labels(spark, rows, 6) == {
+        ("Oslo", "North"), ("Bergen", "North"), ("Rome", "*"), ("Bari", "*"), ("Kyiv", "*"), ("Atlantis", "*"), (None, None),
+    }
+    # Two levels: what is rare in its region goes by the continent; what is rare even at the top has no label.
+    assert labels(spark, [("Oslo", 1), ("Rome", 1), ("Kyiv", 1), ("Atlantis", 1)], 3, ("region", "continent")) == {
+        ("Oslo", "Europe"), ("Rome", "Europe"), ("Kyiv", "Europe"), ("Atlantis", None),
+    }
+    assert labels(spark, [("Oslo", 1)], 1) == {("Oslo", "Oslo")}
+
+
+@pytest.mark.parametrize("k", [1, 4, 9, 50])
+def test_no_label_is_shared_by_fewer_than_k_rows(spark, k):
+    from collections import Counter
+
+    rows = [("Oslo", 9), ("Bergen", 4), ("Rome", 3), ("Bari", 1), ("Kyiv", 2), ("Atlantis", 7)]
+    hierarchy = spark.createDataFrame([("Oslo", "North"), ("Bergen", "North"), ("Rome", "South"), ("Bari", "South")], "location string, region string")
+    df = transactions(spark, *[{"transaction_id": f"{p}{i}", "location": p} for p, n in rows for i in range(n)])
+    counts = Counter(r.location_generalized for r in masking.generalise_location_k(df, hierarchy, k).collect())
+    assert all(n >= k for label, n in counts.items() if label is not None)
