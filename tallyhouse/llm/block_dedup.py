@@ -16,6 +16,8 @@ id lose nothing and take nothing from others; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import secrets
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import drop_staged, staged
-from tallyhouse.llm.repeats import UNIT, Repeats, documents, longs, marked, per_document, with_ranges, word_symbols
+from tallyhouse.llm.repeats import UNIT, Repeats, Symbols, documents, longs, marked, per_document, with_ranges
 from tallyhouse.llm.rolling import Rolling, anchors, covered, mix, segments
 
 GRAM = 6
 
 
-def _cut(text: bytes, start: np.ndarray, length: np.ndarray) -> list[bytes]:
-    symbols = word_symbols(text).symbols
-    return [symbols[a : a + n].tobytes() for a, n in zip(start.tolist(), length.tolist(), strict=True)]
+def _cutter(symbols: Symbols) -> Callable[[bytes, np.ndarray, np.ndarray], list[bytes]]:
+    def cut(text: bytes, start: np.ndarray, length: np.ndarray) -> list[bytes]:
+        found = symbols.of_words(text).symbols
+        return [found[a : a + n].tobytes() for a, n in zip(start.tolist(), length.tolist(), strict=True)]
+
+    return cut
 
 
 def _symbols(content: bytes) -> np.ndarray:
@@ -52,12 +57,12 @@ def _grams(symbols: np.ndarray, block: int, gram: int) -> tuple[np.ndarray, np.n
     return np.concatenate(of_stretch), np.concatenate(places), np.concatenate(found)
 
 
-def probes(docs: DataFrame, window: int, block: int, gram: int) -> DataFrame:
+def probes(docs: DataFrame, window: int, block: int, gram: int, named: Symbols) -> DataFrame:
     """(id, h, gram, place, offset): the grams stretches go by, with offset -1, and the index of
     blocks, with the gram's offset in the block."""
 
     def compute(row):
-        symbols = word_symbols(row["text"]).symbols
+        symbols = named.of_words(row["text"]).symbols
         if len(symbols) < window:
             return None
         of_stretch, places, grams = _grams(symbols, block, gram)
@@ -78,19 +83,20 @@ def hits(found: DataFrame) -> DataFrame:
     """(id, h, start): stretches that may equal a block, from staged ``probes``."""
     asked = found.where("offset < 0").drop("offset")
     shared = asked.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("gram")
-    index = found.where("offset >= 0").select("gram", "offset").distinct().join(shared, "gram")
+    # Staged, so that the join has plain shuffles on both sides and Spark splits a hot gram.
+    index = staged(found.where("offset >= 0").select("gram", "offset").distinct().join(shared, "gram"), "block-index")
     candidates = asked.join(index, "gram").where("place >= offset")
     return candidates.select("id", "h", (F.col("place") - F.col("offset")).alias("start"))
 
 
-def units_at_hits(docs: DataFrame, found: DataFrame, window: int, block: int, gram: int) -> DataFrame:
+def units_at_hits(docs: DataFrame, found: DataFrame, window: int, block: int, named: Symbols) -> DataFrame:
     """The unit of every hit: the windows that hold the stretch, with the stretch as their core."""
     wanted = found.groupBy("id", "h").agg(F.collect_list("start").alias("starts"))
     wanted = wanted.select(F.col("id").alias("wanted_id"), F.col("h").alias("wanted_h"), "starts")
     same = (docs["id"] == wanted["wanted_id"]) & (docs["h"] == wanted["wanted_h"])
 
     def compute(row):
-        symbols = word_symbols(row["text"]).symbols
+        symbols = named.of_words(row["text"]).symbols
         rolling = Rolling(symbols)
         at = np.unique(np.array(row["starts"], np.int64))
         at = at[at + block <= len(symbols)]
@@ -110,11 +116,12 @@ def repeated_words(docs: DataFrame, window: int) -> DataFrame:
     block = max(1, (window + 1) // 2)
     gram = min(GRAM, block)
     known = docs.where("id is not null")
-    found = staged(probes(known, window, block, gram), "block-probes")
+    symbols = Symbols(secrets.token_bytes(16))
+    found = staged(probes(known, window, block, gram, symbols), "block-probes")
     asked = staged(hits(found), "block-hits")
     drop_staged(found)
-    units = staged(units_at_hits(known, asked, window, block, gram), "block-units")
-    return Repeats(window, _cut, _symbols, (5, 1) if block > 5 else (1,), earlier=True, symbol_bytes=8).repeated(units, known)
+    units = staged(units_at_hits(known, asked, window, block, symbols), "block-units")
+    return Repeats(window, _cutter(symbols), _symbols, (5, 1) if block > 5 else (1,), earlier=True, symbol_bytes=8).repeated(units, known)
 
 
 def block_dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

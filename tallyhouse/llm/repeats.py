@@ -2,8 +2,8 @@
 
 A unit is a stretch of consecutive window starts with two names: ``core`` for the symbols that all
 its windows share and ``full`` for everything they cover. Equal windows lie at equal places of
-units with equal cores. So units whose core is unique are dropped; units that share their full name
-are repeated throughout; only where one core goes with several full names is it open which windows
+units with equal cores. So units whose core is unique are dropped; units that share both names, 128
+bits over symbols drawn for the run, are repeated throughout; only where one core goes with several full names is it open which windows
 are repeated, and then one unit of each full name is cut into smaller ones and ranked again, down
 to single windows. All counting, joining and ranking of names is done by Spark; tasks only compute
 the names of the text in front of them.
@@ -11,6 +11,7 @@ the names of the text in front of them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -37,19 +38,44 @@ class Words:
     last: np.ndarray
 
 
-def byte_symbols(text: bytes) -> np.ndarray:
-    return _BYTE[np.frombuffer(text, np.uint8)]
+LONG_WORD = 64
 
 
-def word_symbols(text: bytes, separators: np.ndarray = _SPACE) -> Words:
-    """Words are runs of bytes that are not ``separators``, by default ASCII white space."""
-    octets = np.frombuffer(text, np.uint8)
-    inside = np.concatenate(([False], ~separators[octets], [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    first, last = edges[::2], edges[1::2]
-    length = last - first
-    symbols = mix(Rolling(_BYTE[octets]).of(first, length) + mix(length.astype(np.uint64)))
-    return Words(symbols, first, last)
+class Symbols:
+    """Numbers for bytes and words, drawn from a key.
+
+    With a key of its own for each run, nobody can prepare texts that share a fingerprint. The numbers
+    of any two bytes differ in their low 16 bits, so sequences of up to 300 bytes cannot cancel out
+    as Thue and Morse's do; longer words go by a keyed hash of their bytes.
+    """
+
+    def __init__(self, key: bytes | None = None):
+        self.key, self.bytes = key, _BYTE
+        draw = 0
+        while key is not None and (draw == 0 or len(np.unique(self.bytes & np.uint64(0xFFFF))) < 256):
+            blocks = [hashlib.blake2b(bytes([draw % 256, i]), key=key).digest() for i in range(32)]
+            self.bytes, draw = np.frombuffer(b"".join(blocks), np.uint64), draw + 1
+
+    def of_bytes(self, text: bytes) -> np.ndarray:
+        return self.bytes[np.frombuffer(text, np.uint8)]
+
+    def of_words(self, text: bytes, separators: np.ndarray = _SPACE) -> Words:
+        """Words are runs of bytes that are not ``separators``, by default ASCII white space."""
+        octets = np.frombuffer(text, np.uint8)
+        inside = np.concatenate(([False], ~separators[octets], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        first, last = edges[::2], edges[1::2]
+        length = last - first
+        symbols = mix(Rolling(self.bytes[octets]).of(first, length) + mix(length.astype(np.uint64)))
+        if self.key is not None:
+            for i in np.flatnonzero(length > LONG_WORD).tolist():
+                digest = hashlib.blake2b(text[first[i] : last[i]], digest_size=8, key=self.key).digest()
+                symbols[i] = int.from_bytes(digest, "little")
+        return Words(symbols, first, last)
+
+
+_FIXED = Symbols()
+word_symbols = _FIXED.of_words
 
 
 def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -117,15 +143,18 @@ class Repeats:
 
     def _judge(self, units: DataFrame, owner: list[str]) -> tuple[DataFrame, DataFrame]:
         """Units that are repeated throughout or open, and one unit of each full name under mixed cores."""
+        # Aggregates are staged before they are joined: between two plain shuffles Spark splits a hot core.
         cores = units.groupBy("core").agg(F.count(F.lit(1)).alias("n"), (F.min("full") != F.max("full")).alias("mixed"))
-        live = staged(units.join(cores.where("n > 1").drop("n"), "core"), "live-units")
+        cores = staged(cores.where("n > 1").drop("n"), "shared-cores")
+        live = staged(units.join(cores, "core"), "live-units")
         drop_staged(units)
+        drop_staged(cores)
         first = F.min(F.struct("id", *owner, "start", "count", "shift")).alias("first")
-        ranks = live.groupBy("full").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("mixed").alias("mixed"), first)
+        ranks = live.groupBy("core", "full").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("mixed").alias("mixed"), first)
         ranks = staged(ranks, "unit-classes")
         whole = F.coalesce(F.col("least") < F.col("id"), F.lit(False)) if self.earlier else F.col("n") > 1
-        judged = live.drop("core", "shift", "mixed").join(ranks.drop("first"), "full").withColumn("whole", whole)
-        judged = staged(judged.where("whole OR mixed").drop("n", "least", "mixed"), "judged-units")
+        judged = live.drop("shift", "mixed").join(ranks.drop("first"), ["core", "full"]).withColumn("whole", whole)
+        judged = staged(judged.where("whole OR mixed").drop("core", "n", "least", "mixed"), "judged-units")
         drop_staged(live)
         return judged, ranks.where("mixed").select("full", "first.*")
 

@@ -1,4 +1,10 @@
-"""Rolling fingerprints of symbol sequences, and runs of windows around shared anchors."""
+"""Rolling fingerprints of symbol sequences, and runs of windows around shared anchors.
+
+A fingerprint modulo 2^64 alone can be cheated: sequences of two symbols that alternate like those of
+Thue and Morse differ by a multiple of a high power of two, whatever the base, so pairs of symbols
+with equal low bits give unequal sequences of one fingerprint. Whoever decides by fingerprints
+therefore draws the symbols anew for each run (``repeats.Symbols``).
+"""
 
 from __future__ import annotations
 

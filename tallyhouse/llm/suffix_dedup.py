@@ -1,13 +1,12 @@
-"""Removal of byte strings that occur more than once, by distributed prefix doubling.
+"""Removal of byte strings that occur more than once, by ranking suffixes in groups.
 
-Ranking every position of a corpus moves more data than the corpus itself, so positions are ranked
-in groups. Each window of ``length`` bytes has an anchor, the least 16-byte gram among its first
-hundred places; neighbouring windows share it, and equal windows have it at equal places. Anchors
-take the part of suffixes: Spark sorts and groups pairs of names, that of the bytes all windows of
-an anchor share and that of everything they cover, drops what is unique, and ranks what is left
-again with the names of longer stretches of fewer starts (100, then 10, then 1), until a name is
-unique or has passed the threshold length. A name is a 64-bit fingerprint instead of a dense rank,
-so the rank of the second half of a pair needs no look-up at another offset.
+Ranking every position of a corpus at growing offsets moves more data than the corpus itself in every
+round, so this is prefix doubling run backwards, over anchors. Each window of ``length`` bytes has
+an anchor, the least 16-byte gram among its first hundred places; neighbouring windows share it, and
+equal windows have it at equal places. Anchors take the part of suffixes: Spark groups pairs of
+names, that of the bytes all windows of an anchor share and that of everything they cover, drops
+what is unique, and names what is left again over fewer starts (100, then 10, then 1), until a name
+is unique or stands for single windows. Names are fingerprints over symbols drawn for the run.
 
 Defined results: a null text is empty; texts shorter than ``length`` lose nothing; a repeated row
 counts as another occurrence, so both lose what they share; an empty table gives no rows. Other
@@ -17,13 +16,14 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import secrets
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyhouse.llm.common import staged
-from tallyhouse.llm.repeats import UNIT, Repeats, byte_symbols, documents, marked, per_document, with_ranges
+from tallyhouse.llm.repeats import UNIT, Repeats, Symbols, documents, marked, per_document, with_ranges
 from tallyhouse.llm.rolling import window_runs
 
 GRAM = 16
@@ -37,15 +37,16 @@ def repeated_bytes(docs: DataFrame, length: int) -> DataFrame:
     """(id, h, start, count): starts of windows of ``length`` bytes that also start elsewhere. ``docs`` is (id, h, text)."""
     width = max(1, min(100, length - GRAM + 1))
     gram = min(GRAM, length)
+    symbols = Symbols(secrets.token_bytes(16))
 
     def compute(row):
-        return window_runs(byte_symbols(row["text"]), length, gram, width)
+        return window_runs(symbols.of_bytes(row["text"]), length, gram, width)
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, h long, core long, full long, start long, count long, shift long"
     units = docs.mapInArrow(lambda batches: per_document(batches, compute, UNIT, ["id", "h"]), schema)
     sizes = (10, 1) if width > 10 else (1,)
-    return Repeats(length, _cut, byte_symbols, sizes).repeated(staged(units, "suffix-units"), docs)
+    return Repeats(length, _cut, symbols.of_bytes, sizes).repeated(staged(units, "suffix-units"), docs)
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

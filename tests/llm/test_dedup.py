@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.block_dedup import block_dedup
 from tallyhouse.llm.common import connected_components
 from tallyhouse.llm.exact_dedup import drop_copies, exact_dedup
-from tallyhouse.llm.repeats import byte_symbols, word_symbols
+from tallyhouse.llm.repeats import Symbols, word_symbols
 from tallyhouse.llm.rolling import anchors, Rolling, mix, sliding_minimum
 from tallyhouse.llm.simhash import drop_near_duplicates, near_duplicates, simhash, simhash_components, shingle_hashes
 from tallyhouse.llm.suffix_dedup import suffix_dedup
@@ -251,14 +251,14 @@ def test_byte_strings_that_share_a_fingerprint_stay(spark):
     draw = np.random.default_rng(11)
     words = draw.integers(33, 127, (12_000_000, 4)).astype(np.uint8)
     words = np.unique(words.view(np.uint32).ravel()).view(np.uint8).reshape(-1, 4)
-    hashes = Rolling(byte_symbols(words.tobytes()).symbols).of(4 * np.arange(len(words)), 4)
+    hashes = Rolling(Symbols().of_bytes(words.tobytes())).of(4 * np.arange(len(words)), 4)
     pairs = colliding(hashes, 22, 5)
     assert pairs
     rows, key = [], 0
     for one, two in pairs:
         before, after = ("".join(chr(c) for c in draw.integers(97, 123, 100)) for _ in range(2))
         middles = ["".join(m) for m in alternated(*(words[i].tobytes().decode() for i in (one, two)))]
-        fingerprints = {int(Rolling(byte_symbols(m.encode()).symbols).of(np.array([0]), 64)[0]) for m in middles}
+        fingerprints = {int(Rolling(Symbols().of_bytes(m.encode())).of(np.array([0]), 64)[0]) for m in middles}
         assert len(fingerprints) == 1 and middles[0] != middles[1]
         rows += [(key := key + 1, before + m + after) for m in middles]
     found = suffix_dedup(awkward(spark, rows)).collect()
