@@ -22,6 +22,9 @@ class Contract:
     not_null: tuple[str, ...] = ()
     checks: dict[str, tuple[str, str]] = field(default_factory=dict)
     lengths: dict[str, int] = field(default_factory=dict)
+    # How stored files are laid out for look-ups: see ``files.replace_days``.
+    cluster_by: tuple[str, ...] = ()
+    find_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -117,6 +120,8 @@ PROCESSED = Contract(
     key=("transaction_id",),
     not_null=("merchant_id", "amount", "currency", "timestamp", "transaction_date"),
     lengths={"transaction_id": 50, "merchant_id": 50, "currency": 3, "location": 100},
+    cluster_by=("merchant_id",),
+    find_by=("transaction_id",),
 )
 
 INVALID = Contract(
@@ -163,6 +168,7 @@ DAILY_MERCHANT_SUMMARY = Contract(
     key=("merchant_id", "transaction_date"),
     not_null=("total_transactions", "total_amount"),
     lengths=_ID_LENGTHS,
+    cluster_by=("merchant_id",),
 )
 
 RISK_METRICS = Contract(
@@ -182,6 +188,7 @@ RISK_METRICS = Contract(
     key=("merchant_id", "transaction_date"),
     checks={"risk level is unknown": ("risk_level", "risk_level IN ('LOW', 'MEDIUM', 'HIGH')")},
     lengths={**_ID_LENGTHS, "risk_level": 10},
+    cluster_by=("merchant_id",),
 )
 
 HOURLY_PATTERNS = Contract(
@@ -196,6 +203,7 @@ HOURLY_PATTERNS = Contract(
     key=("merchant_id", "transaction_date", "transaction_hour"),
     checks={"hour is outside 0-23": ("transaction_hour", "transaction_hour BETWEEN 0 AND 23")},
     lengths=_ID_LENGTHS,
+    cluster_by=("merchant_id",),
 )
 
 CURRENCY_BREAKDOWN = Contract(
@@ -209,6 +217,7 @@ CURRENCY_BREAKDOWN = Contract(
     },
     key=("merchant_id", "transaction_date", "currency"),
     lengths={**_ID_LENGTHS, "currency": 3},
+    cluster_by=("merchant_id",),
 )
 
 MERCHANT_KPIS = Contract(
@@ -227,6 +236,7 @@ MERCHANT_KPIS = Contract(
     },
     key=("merchant_id", "transaction_date"),
     lengths=_ID_LENGTHS,
+    cluster_by=("merchant_id",),
 )
 
 QUALITY_REPORTS = Contract(

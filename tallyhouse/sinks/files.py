@@ -56,21 +56,35 @@ def _check_format(fmt: str) -> None:
         raise ValueError(f"unknown format {fmt!r}: use one of {FORMATS}")
 
 
-def replace_days(df: DataFrame, table_path: str, fmt: str = "parquet") -> None:
+def replace_days(
+    df: DataFrame, table_path: str, fmt: str = "parquet", cluster_by: Sequence[str] = (), find_by: Sequence[str] = ()
+) -> None:
     """Replace the ``date`` partitions present in ``df``; the other partitions stay.
 
     The new files are staged and swapped in when the job commits, so a failed run keeps
-    the old partitions.
+    the old partitions. Rows of a file are sorted by ``cluster_by``, so that a look-up skips
+    row groups by their least and greatest values; Parquet files have Bloom filters on
+    ``find_by``, columns of values too scattered for that.
     """
     _check_format(fmt)
-    writer = _writer(df, "overwrite", [DAY], None)
+    if cluster_by:
+        df = df.hint("rebalance", DAY).sortWithinPartitions(DAY, *cluster_by)
+    writer = _writer(df, "overwrite", [DAY], False if cluster_by else None)
+    for column in find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if fmt == "json":
         writer = writer.option("timestampFormat", WRITTEN_TIMESTAMP_FORMAT).option("timeZone", "UTC")
     writer.format(fmt).save(table_path)
 
 
 def replace_day(
-    df: DataFrame, table_path: str, day: str, fmt: str = "parquet", empty: bool | None = None
+    df: DataFrame,
+    table_path: str,
+    day: str,
+    fmt: str = "parquet",
+    empty: bool | None = None,
+    cluster_by: Sequence[str] = (),
+    find_by: Sequence[str] = (),
 ) -> None:
     """Make ``df`` the whole content of partition ``date=day``.
 
@@ -83,7 +97,7 @@ def replace_day(
         nothing = df.sparkSession.createDataFrame([], df.schema)
         nothing.write.mode("overwrite").format(fmt).save(f"{table_path}/{DAY}={day}")
         return
-    replace_days(df.withColumn(DAY, F.lit(day)), table_path, fmt)
+    replace_days(df.withColumn(DAY, F.lit(day)), table_path, fmt, cluster_by, find_by)
 
 
 def read_table(

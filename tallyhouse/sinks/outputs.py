@@ -78,7 +78,7 @@ def write_table(
 ) -> DataFrame:
     """Replace the day's partition by ``df``, held to the contract; returns the frame written."""
     frame = contract.enforce(df, lengths=target.has_database)
-    files.replace_day(frame, target.path(contract), day, target.fmt, empty)
+    files.replace_day(frame, target.path(contract), day, target.fmt, empty, contract.cluster_by, contract.find_by)
     return frame
 
 
