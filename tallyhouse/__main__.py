@@ -7,10 +7,13 @@ import logging
 import sys
 
 from tallyhouse.plans.daily_run import process_day, processing_report
+from tallyhouse.plans.incremental import SummaryStore
 from tallyhouse.session import build_session
 from tallyhouse.sinks.files import FORMATS
 from tallyhouse.sinks.jdbc import JdbcTarget
+from tallyhouse.sinks.landed_ids import LandedIds
 from tallyhouse.sinks.outputs import OutputTarget
+from tallyhouse.sinks.relational import RelationalTarget
 from tallyhouse.sources.transactions import LOCAL, OBJECT_STORE
 
 log = logging.getLogger("tallyhouse")
@@ -30,6 +33,11 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--jdbc-property", action="append", default=[], metavar="KEY=VALUE", help="connection property, repeatable"
     )
+    parser.add_argument(
+        "--connect", metavar="MODULE:FUNCTION", help="write the tables to the database this function connects to, with one commit each"
+    )
+    parser.add_argument("--landed-ids", metavar="PATH", help="leave out records stored on earlier days, whose ids are kept here")
+    parser.add_argument("--summary-store", metavar="PATH", help="also keep summaries here that take late records in")
     return parser.parse_args(argv)
 
 
@@ -37,14 +45,16 @@ def main(argv: list[str] | None = None) -> int:
     args = parse_arguments(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
-    jdbc = None
-    if args.jdbc_url:
-        jdbc = JdbcTarget(args.jdbc_url, dict(p.split("=", 1) for p in args.jdbc_property))
+    properties = dict(p.split("=", 1) for p in args.jdbc_property)
+    jdbc = JdbcTarget(args.jdbc_url, properties) if args.jdbc_url else None
+    relational = RelationalTarget(args.connect, properties) if args.connect else None
     spark = build_session()
     try:
         result = process_day(
             spark, args.year, args.month, args.day, args.mode, args.raw,
-            OutputTarget(args.out, args.format, jdbc), multi_line=not args.json_lines,
+            OutputTarget(args.out, args.format, jdbc, relational), multi_line=not args.json_lines,
+            landed=LandedIds(args.landed_ids) if args.landed_ids else None,
+            summary_store=SummaryStore(args.summary_store) if args.summary_store else None,
         )
         log.info("run finished\n%s", processing_report(result))
         return 0

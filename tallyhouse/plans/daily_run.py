@@ -23,6 +23,7 @@ from tallyhouse.functions.rules import Rule
 from tallyhouse.functions.scoring import DEFAULT_RISK, RiskPolicy
 from tallyhouse.operators import masking, metrics
 from tallyhouse.operators.validation import flag_transactions, validation_error_text
+from tallyhouse.plans.incremental import SummaryStore
 from tallyhouse.schema import IS_CORRUPT
 from tallyhouse.session import require_ansi, require_utc, size_shuffles
 from tallyhouse.sinks import files, outputs
@@ -114,6 +115,7 @@ def process_transactions(
     salt: str | None = None,
     separator: str = "",
     landed: LandedIds | None = None,
+    summary_store: SummaryStore | None = None,
 ) -> RunResult:
     """Run the job on ``raw`` and store everything under partition ``processing_date``.
 
@@ -121,6 +123,7 @@ def process_transactions(
     log was set to FAILED, or to PARTIAL if writing the outputs had already begun.
     With ``landed``, records whose id was stored as valid on an earlier date are left out
     and count as not read; the ids of this run's valid rows are recorded when it has ended.
+    ``summary_store`` takes the run's valid rows in, so that its summaries hold late records too.
     """
     spark = raw.sparkSession
     require_utc(spark)
@@ -175,6 +178,8 @@ def process_transactions(
 
         if target.has_database:
             send_to_database(spark, target, day, list(tables))
+        if summary_store:
+            summary_store.update(valid, day)
         if landed:
             landed.record(valid, day)
         record_run(spark, target, run.ended("SUCCESS"))

@@ -198,6 +198,7 @@ by_day AS (
   FROM valid GROUP BY transaction_date
 )"""
 
+# Volume categories and their limits.
 _OVERVIEW = """
 overview AS (
   SELECT d.merchant_id, d.transaction_date, d.total_transactions, d.total_amount, d.avg_transaction_amount,
@@ -372,6 +373,7 @@ ORACLES: dict[str, str] = {
     "merchant_performance_overview": _from_valid(
         "SELECT * FROM overview ORDER BY transaction_date DESC, total_amount DESC", _DAILY, _RISK, _OVERVIEW
     ),
+    # Quality grades and their limits.
     "data_quality_monitoring": _from_flagged(
         f"""SELECT processing_date, total_transactions, valid_transactions, invalid_transactions,
             data_quality_percentage,

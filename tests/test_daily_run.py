@@ -14,6 +14,7 @@ from tallyhouse import contracts
 from tallyhouse.functions import rules as R
 from tallyhouse.operators.cleaning import clean_transactions
 from tallyhouse.plans import daily_run
+from tallyhouse.plans.incremental import SummaryStore
 from tallyhouse.plans.result_views import register_views
 from tallyhouse.plans.retention import cleanup_old_data
 from tallyhouse.session import scratch_path
@@ -308,3 +309,13 @@ def test_observed_counts_are_those_of_the_stored_rows(spark, done):
     stored = [outputs.read_output(spark, target, c).count() for c in (contracts.PROCESSED, contracts.INVALID)]
     assert [row.valid_transactions, row.invalid_transactions] == stored == [result.valid_count, result.invalid_count]
     assert row.raw_transactions == result.raw_count and row.total_transactions == sum(stored)
+
+
+def test_late_records_reach_the_summaries_of_their_own_day(spark, tmp_path):
+    target, store = OutputTarget(str(tmp_path / "out")), SummaryStore(str(tmp_path / "summaries"))
+    late = {"transaction_id": "late", "amount": 7.5, "customer_id": "c2"}
+    for day, rows in (("2025-06-24", [{}]), ("2025-06-25", [late, {"transaction_id": "n", "timestamp": dt.datetime(2025, 6, 25, 9)}])):
+        daily_run.process_transactions(transactions(spark, *rows), target, day, summary_store=store)
+    found = {str(r.transaction_date): r for r in store.read(spark, "daily_merchant_summary").collect()}
+    assert {d: (r.total_transactions, float(r.total_amount)) for d, r in found.items()} == {"2025-06-24": (2, 20.0), "2025-06-25": (1, 12.5)}
+    assert {str(r.transaction_date): r.unique_customers for r in store.read(spark, "risk_metrics").collect()} == {"2025-06-24": 2, "2025-06-25": 1}
