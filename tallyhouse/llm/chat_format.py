@@ -131,15 +131,16 @@ def _own_parts(blocks: DataFrame) -> DataFrame:
     text = F.array_join(F.slice("texts", F.lit(1), F.col("place")), "")
     rows = rows.select("conv", (F.col("at") + F.col("place") - 1).alias("example"), F.col("at").alias("part"), text.alias("text"), size.alias("loss_chars"), (F.col("ends") & (F.col("place") == count)).alias("whole"))
     start = F.char_length("text") - len(CLOSE) - F.col("loss_chars")
-    return rows.select("conv", "example", "part", "text", start.alias("loss_start"), "loss_chars", "whole")
+    return rows.select("conv", "example", "part", "text", start.alias("loss_start"), "loss_chars", "whole", F.lit(False).alias("context"))
 
 
 def prefix_examples(turns: DataFrame, **columns: str) -> DataFrame:
-    """(conv, example, part, text, loss_start, loss_chars, whole): the parts of all examples.
+    """(conv, example, part, text, loss_start, loss_chars, whole, context): the parts of all examples.
 
     ``example`` and ``part`` ascend with the turns. ``loss_start`` (from 0, in code points of
     ``text``) and ``loss_chars`` mark the escaped reply, in the last part of an example only.
-    ``whole`` marks the parts of the example that holds all turns of its conversation.
+    ``whole`` marks the parts of the example that holds all turns of its conversation, ``context``
+    those before its last part.
     """
     blocks = turn_blocks(turns, **columns)
     single = blocks.where("first AND last").withColumn("ends", F.lit(True))
@@ -161,6 +162,7 @@ def prefix_examples(turns: DataFrame, **columns: str) -> DataFrame:
         nothing.alias("loss_start"),
         nothing.alias("loss_chars"),
         "whole",
+        F.lit(True).alias("context"),
     )
     return own.unionByName(context)
 
@@ -204,12 +206,16 @@ def read_back(parts: DataFrame) -> DataFrame:
     turns = F.when(F.col("whole"), parsed(F.col("text")))
     said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = unescape(F.substr("text", F.col("loss_start") + 1, F.col("loss_chars")))
-    rows = parts.select("conv", "example", "part", said.alias("said"), F.size(turns).alias("turns"), loss.alias("loss"), F.char_length("text").alias("size"))
-    # Context that is not read again only counts: add it up before the shuffle.
-    counted = rows.where("said IS NULL AND loss IS NULL").groupBy("conv").agg(F.sum("size").alias("size"))
-    nothing = F.lit(None).cast("string")
-    counted = counted.select("conv", F.lit(-1).cast("long").alias("example"), F.lit(0).cast("long").alias("part"), nothing.alias("said"), F.lit(0).alias("turns"), nothing.alias("loss"), "size")
-    rows = rows.where("said IS NOT NULL OR loss IS NOT NULL").unionByName(counted)
+    size = F.char_length("text").cast("long").alias("size")
+    read = parts.where("NOT context OR whole")
+    rows = read.select("conv", "example", "part", said.alias("said"), F.size(turns).alias("turns"), loss.alias("loss"), size)
+    # Context of other examples only counts: it is added up before the shuffle.
+    counted = parts.where("context AND NOT whole").select("conv", size).groupBy("conv").agg(F.sum("size").alias("size"))
+    nothing, first = F.lit(None).cast("string"), F.lit(-1).cast("long")
+    counted = counted.select(
+        "conv", first.alias("example"), first.alias("part"), nothing.alias("said"), F.lit(0).alias("turns"), nothing.alias("loss"), "size"
+    )
+    rows = rows.unionByName(counted)
     rows = rows.repartition("conv").sortWithinPartitions("conv", "example", "part")
     schema = f"conv {rows.schema['conv'].dataType.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return rows.mapInArrow(_digest, schema)
