@@ -33,7 +33,10 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts whose five-word shingles are alike to 0.8 or more the document with the smallest id."""
+    """Of texts whose five-word shingles are alike to 0.8 or more the document with the smallest id.
+
+    SimHash fingerprints discard pairs by their pivot distances and bits; the sets of the others decide.
+    """
     return drop_near_duplicates(docs)
 
 

@@ -11,11 +11,13 @@ Which pairs are looked at: two ways, both by equal keys.
   with more than ``BUCKET`` fingerprints is not paired out: each of its members is filed under all
   fingerprints within d/2 bits of itself, and two fingerprints share such a place exactly when
   they are within d bits. Linking each to the smallest of its place keeps the components.
-* ``near_duplicates`` compares shingle sets and misses nothing either: of two sets alike to s, each
-  of n shingles, one of the n - ceil(s n) + 1 rarest of the first is among those of the second (in
-  any one order of all shingles), and these are the keys. Pairs that share too few keys are dropped
-  and the others' sets compared. The members of a crowded key are dealt over blocks, and tasks
-  search all pairs of two blocks for links with the same components.
+* ``near_duplicates`` (four lanes over the distinct shingles, ``bit_limit``) proposes by rare
+  shingles, as blocks of bits miss pairs so far apart: of two sets alike to s, each of n shingles,
+  one of the n - ceil(s n) + 1 rarest of the first is among those of the second (in any one order of
+  all shingles), and these are the keys. Pairs that share too few keys are dropped, then those whose
+  pivots or bits are too far apart, and the sets of the survivors are compared. The members of a
+  crowded key are dealt over blocks, and tasks search all pairs of two blocks, by pivots, bits and
+  sets again, for links with the same components.
 
 Defined results: a null or empty text has fingerprint zero; fewer words than a shingle count as one
 shingle; repeated rows share a component; an empty table gives no rows. Other columns are not read.
@@ -44,6 +46,7 @@ SEED = 42
 CHUNK = 1 << 15
 BUCKETS = 1 << 18  # of shingles, counted to order them by rarity
 BLOCK = 1 << 21  # shingles of a block of a crowded key
+LANES = 4  # of the fingerprints of shingle sets
 
 
 def _signed(bits: int) -> int:
@@ -130,10 +133,9 @@ def _keyed(table: DataFrame, keys: list[Column]) -> DataFrame:
 
 
 def _survivors(pairs: DataFrame, table: DataFrame, lanes: int, distance: int) -> DataFrame:
-    """Pairs (a, b) of short names: those whose pivots and bits allow it, as fingerprints."""
+    """Pairs (a, b) of short names whose pivots and bits allow it, with their fingerprints (x.fp, y.fp)."""
     side = lambda name, x: table.select(F.col("f").alias(name), F.struct("fp", "pivots").alias(x))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(close("x", "y", lanes, distance))
-    return both.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(close("x", "y", lanes, distance))
 
 
 def _pairs(keyed: DataFrame, small: DataFrame) -> DataFrame:
@@ -167,7 +169,7 @@ def close_links(fps: DataFrame, distance: int) -> DataFrame:
     keyed = _keyed(table, keys)
     sizes = staged(keyed.groupBy("k", "v").count().where("count > 1"), "simhash-keys")
     pairs = _pairs(keyed, sizes.where(F.col("count") <= BUCKET).select("k", "v"))
-    links = _survivors(pairs, table, 1, distance)
+    links = _survivors(pairs, table, 1, distance).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     crowded = keyed.join(sizes.where(F.col("count") > BUCKET).select("k", "v"), ["k", "v"], "left_semi").select("f").distinct()
     crowded = table.join(crowded, "f").select("fp")
     places = F.explode(F.array(*[F.lit(m) for m in _neighbour_masks(distance // 2)]))
@@ -199,6 +201,20 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(mix(Rolling(symbols).all(min(shingle, max(len(symbols), 1)))))
 
 
+def bit_limit(similarity: float, bits: int) -> int:
+    """The distance that the fingerprints of two sets alike to ``similarity`` exceed with a chance below 2^-64.
+
+    A bit of large sets differs with chance arccos(2s / (1 + s)) / pi. Small sets, whose majorities tie, come
+    up to sqrt(pi / 2) times that; Chernoff's bound does the rest.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.sqrt(2 * math.pi)
+    for limit in range(math.ceil(share * bits), bits - 1):
+        x = (limit + 1) / bits
+        if share == 0 or bits * (x * math.log(x / share) + (1 - x) * math.log((1 - x) / (1 - share))) >= 64 * math.log(2):
+            return limit
+    return bits
+
+
 def _set_name(found: np.ndarray) -> int:
     return _signed(xxhash.xxh3_64_intdigest(found.tobytes()))
 
@@ -209,26 +225,28 @@ def _at_least(share: float, n):
 
 
 def _named_sets(source: DataFrame, shingle: int) -> DataFrame:
-    """(id, f) of every row, f naming its shingle set; and (bucket, c), in how many texts of a task a bucket of shingles is."""
+    """(id, f, fp) of every row, f naming its shingle set; and (bucket, c), in how many texts of a task a bucket of shingles is."""
 
     def compute(batches):
         counts = np.zeros(BUCKETS, np.int64)
-        nulls = lambda n, kind: pa.nulls(n, kind)
-        kind = None
+        names = ["id", "f", "fp", "bucket", "c"]
+        kinds = [None, pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+        nulls = lambda n, kinds: [pa.nulls(n, kind) for kind in kinds]
         for batch in batches:
-            kind, names = batch.schema.field("id").type, []
+            kinds[0], f, fp = batch.schema.field("id").type, [], []
             for _, text in texts(batch):
                 found = shingle_set(text, shingle)
-                names.append(_set_name(found))
+                f.append(_set_name(found))
+                fp.append(simhash(found, LANES))
                 np.add.at(counts, found & np.uint64(BUCKETS - 1), 1)
-            columns = [batch.column("id"), pa.array(names, pa.int64()), nulls(len(names), pa.int64()), nulls(len(names), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "f", "bucket", "c"])
+            columns = [batch.column("id"), pa.array(f, kinds[1]), pa.array(fp, kinds[2]), *nulls(len(f), kinds[3:])]
+            yield pa.RecordBatch.from_arrays(columns, names)
         used = np.flatnonzero(counts)
         if len(used):
-            columns = [nulls(len(used), kind), nulls(len(used), pa.int64()), *longs(used, counts[used])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "f", "bucket", "c"])
+            yield pa.RecordBatch.from_arrays([*nulls(len(used), kinds[:3]), *longs(used, counts[used])], names)
 
-    return source.mapInArrow(compute, f"id {source.schema['id'].dataType.simpleString()}, f long, bucket long, c long")
+    id_type = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(compute, f"id {id_type}, f long, fp array<long>, bucket long, c long")
 
 
 def _prefix_keys(source: DataFrame, shingle: int, similarity: float, counts: np.ndarray) -> DataFrame:
@@ -289,10 +307,13 @@ def _crowded_units(members: DataFrame) -> DataFrame:
     return other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "f")
 
 
-def spanning_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+def spanning_links(
+    sets: list[np.ndarray], fps: np.ndarray, pivots: np.ndarray, similarity: float, distance: int
+) -> list[tuple[int, int]]:
     """Links between places of alike sets whose components are those of all alike pairs; no set is empty.
 
-    Each set that was reached is compared with all that were not, so a group alike to one member takes a step or two.
+    Each set that was reached is compared with all that were not, so a group alike to one member takes a step or
+    two: their pivots first, then the bits of those that remain (``fps``, unsigned), then their sets.
     """
     sizes = np.array(list(map(len, sets)))
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
@@ -302,45 +323,48 @@ def spanning_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int,
     while len(left):
         if not reached:
             reached.append(int(left[0]))
-            keep = np.arange(len(left)) > 0
-        else:
-            hub = reached.pop()
+            left = left[1:]
+            continue
+        hub = reached.pop()
+        near = left[np.abs(pivots[left] - pivots[hub]).max(axis=1) <= distance]
+        near = near[np.bitwise_count(fps[near] ^ fps[hub]).sum(axis=1) <= distance]
+        if len(near):
+            starts = np.cumsum(sizes[near]) - sizes[near]
             mark[of[hub]] = True
-            common = np.add.reduceat(mark[ids], starts, dtype=np.int64)
+            common = np.add.reduceat(mark[np.concatenate([of[other] for other in near])], starts, dtype=np.int64)
             mark[of[hub]] = False
-            keep = common < similarity * (sizes[hub] + sizes[left] - common) - 1e-9
-            found = left[~keep].tolist()
-            links += [(hub, other) for other in found]
-            reached += found
-        if not keep.all():
-            ids = ids[np.repeat(keep, sizes[left])]
-            left = left[keep]
-            starts = np.cumsum(sizes[left]) - sizes[left]
+            near = near[common >= similarity * (sizes[hub] + sizes[near] - common) - 1e-9]
+            left = np.setdiff1d(left, near, assume_unique=True)
+            links += [(hub, other) for other in near.tolist()]
+            reached += near.tolist()
     return links
 
 
-def _crowded_links(units: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _crowded_links(units: DataFrame, sets: DataFrame, table: DataFrame, similarity: float, distance: int) -> DataFrame:
     """(a, b): links that keep the components of every unit; the pairs are looked at inside the tasks."""
-    unit = ["key", "i", "j"]
-    rows = units.join(sets, "f").select(*unit, "f", "shingles").repartition(*unit).sortWithinPartitions(*unit)
+    unit, columns = ["key", "i", "j"], ["f", "shingles", "fp", "pivots"]
+    rows = units.join(sets.join(table, "f"), "f").select(*unit, *columns).repartition(*unit).sortWithinPartitions(*unit)
 
     def compute(batches):
         now, held = None, {}
 
         def links():
-            names = list(held)
-            found = spanning_links([np.frombuffer(held[f], np.uint64) for f in names], similarity) if len(names) > 1 else []
+            names, found = list(held), []
+            if len(names) > 1:
+                sets, fps, pivots = zip(*held.values(), strict=True)
+                sets = [np.frombuffer(x, np.uint64) for x in sets]
+                found = spanning_links(sets, np.array(fps, np.int64).view(np.uint64), np.array(pivots, np.int64), similarity, distance)
             ends = [pa.array([names[link[x]] for link in found], pa.int64()) for x in (0, 1)]
             return pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
         for batch in batches:
-            for *at, f, shingles in zip(*[batch.column(c) for c in (*unit, "f", "shingles")], strict=True):
+            for *at, f, shingles, fp, pivots in zip(*[batch.column(c) for c in unit + columns], strict=True):
                 at = [x.as_py() for x in at]
                 if at != now:
                     if held:
                         yield links()
                     now, held = at, {}
-                held[f.as_py()] = shingles.as_py()
+                held[f.as_py()] = shingles.as_py(), fp.as_py(), pivots.as_py()
         if held:
             yield links()
 
@@ -379,11 +403,15 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component) of texts whose sets of word shingles are alike to ``similarity`` or more.
 
-    ``fp`` names the set, so rows with one ``fp`` are alike. All alike pairs are found, or others that join the same rows.
+    ``fp`` names the set, so rows with one ``fp`` are alike. All alike pairs are found, or others that join the same rows;
+    a SimHash loses one with a chance below 2^-64 (``bit_limit``).
     """
+    limit = bit_limit(similarity, 64 * LANES)
     source = id_and_text(docs, id_col, text_col)
     described = staged(_named_sets(source, shingle), "shingle-names")
-    rows = described.where("bucket is null").select("id", F.array("f").alias("fp"))
+    named = described.where("bucket is null")
+    rows = named.select("id", F.array("f").alias("fp"))
+    table = staged(pivot_table(named.groupBy("f").agg(F.first("fp").alias("fp")), LANES), "near-pivots")
     classes = staged(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "shingle-classes")
     seen = described.where("bucket is not null").groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()  # BUCKETS rows at most
     counts = np.zeros(BUCKETS, np.int64)
@@ -393,13 +421,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     shared = staged(keys.groupBy("key").agg(*ends).where("low <> high").select("key", "n", "total"), "prefix-shared")
     members = staged(keys.join(shared, "key"), "prefix-members")
     drop_staged(keys)
-    pairs = staged(_prefix_pairs(members, similarity), "near-pairs")
+    pairs = staged(_survivors(_prefix_pairs(members, similarity), table, LANES, limit).select("a", "b"), "near-pairs")
     units = staged(_crowded_units(members), "crowded-units")
     asked = pairs.select(F.col("a").alias("f")).union(pairs.select(F.col("b").alias("f"))).union(units.select("f")).distinct()
     wanted = classes.join(asked.select(F.array("f").alias("fp")), "fp").select(F.col("least_id").alias("wanted")).distinct()
     texts_of = source.join(wanted, source["id"].eqNullSafe(wanted["wanted"]), "left_semi")
     sets = staged(_shingle_sets(texts_of, shingle), "shingle-sets")
-    links = _alike(pairs, sets, similarity).union(_crowded_links(units, sets, similarity))
+    links = _alike(pairs, sets, similarity).union(_crowded_links(units, sets, table, similarity, limit))
     return _components(rows, classes, links.select(F.array("a").alias("a"), F.array("b").alias("b")))
 
 

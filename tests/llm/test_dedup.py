@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -16,7 +17,7 @@ from tallyhouse.llm.common import connected_components
 from tallyhouse.llm.exact_dedup import drop_copies, exact_dedup
 from tallyhouse.llm.repeats import Symbols, word_symbols
 from tallyhouse.llm.rolling import anchors, Rolling, mix, sliding_minimum
-from tallyhouse.llm.simhash import drop_near_duplicates, near_duplicates, simhash, simhash_components, shingle_hashes
+from tallyhouse.llm.simhash import bit_limit, drop_near_duplicates, near_duplicates, shingle_hashes, shingle_set, simhash, simhash_components
 from tallyhouse.llm.suffix_dedup import suffix_dedup
 from tests.llm.fixtures import awkward, awkward_texts, empty, words
 
@@ -154,6 +155,54 @@ def test_near_copies_of_one_original_in_crowds(spark, monkeypatch, bucket, block
     check_near(spark, texts)
 
 
+@pytest.mark.parametrize("bucket", [2, 10**6])
+def test_near_copies_go_through_fingerprints_and_pivots(spark, monkeypatch, bucket):
+    """With a distance far below the safe one only alike sets whose fingerprints are that close are linked."""
+    from tallyhouse.llm import simhash as module
+
+    tables, draw = [], random.Random(8)
+    table = lambda *a, of=module.pivot_table: tables.append(of(*a)) or tables[-1]
+    monkeypatch.setattr(module, "pivot_table", table)
+    monkeypatch.setattr(module, "BUCKET", bucket)
+    monkeypatch.setattr(module, "bit_limit", lambda similarity, bits: 30)
+    texts = []
+    for group in range(4):
+        base = words(draw, 150)
+        for i in range(20):
+            at = draw.randrange(5, 120)
+            texts.append((100 * group + i, " ".join(base[:at] + words(draw, i % 6) + base[at + i % 6 :])))
+    found = near_duplicates(awkward(spark, texts)).collect()
+    sets = [shingle_set(t.encode(), 5) for _, t in texts]
+    described = [(frozenset(x.tolist()), simhash(x, 4)) for x in sets]
+    alike = lambda a, b: len(a[0] & b[0]) >= 0.8 * len(a[0] | b[0])
+    near = lambda a, b: sum((x ^ y) % 2**64 >> k & 1 for x, y in zip(a[1], b[1], strict=True) for k in range(64)) <= 30
+    ids = [k for k, _ in texts]
+    expected = components(described, ids, lambda a, b: a[0] == b[0] or (alike(a, b) and near(a, b)))
+    assert expected != components(described, ids, alike)
+    assert Counter((r.id, r.component) for r in found) == expected
+    rows = tables[0].collect()
+    assert {tuple(r.fp) for r in rows} == {tuple(fp) for _, fp in described} and len(rows[0].pivots) == 12
+
+
+def flips(common: int, one: int, two: int) -> float:
+    """Chance that a bit differs between fingerprints of sets that share so many shingles and have so many alone."""
+    chances = lambda n: [math.comb(n, i) / 2**n for i in range(n + 1)]
+    set_bit = lambda x, alone: sum(p for i, p in enumerate(chances(alone)) if 2 * (x + i) > common + alone)
+    both = [(p, set_bit(x, one), set_bit(x, two)) for x, p in enumerate(chances(common))]
+    return sum(p * (a * (1 - b) + b * (1 - a)) for p, a, b in both)
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.9, 0.97])
+def test_alike_sets_of_any_size_stay_within_the_bit_limit(similarity):
+    limit, share = bit_limit(similarity, 256), 0.0
+    for common in range(1, 41):
+        room = int(common * (1 - similarity) / similarity + 1e-9)
+        share = max(share, *(flips(common, a, b - a) for b in range(room + 1) for a in range(b + 1)), 0.0)
+    beyond = sum(math.comb(256, n) * share**n * (1 - share) ** (256 - n) for n in range(limit + 1, 257))
+    assert beyond < 2.0**-64 and 0 < limit < 256
+    assert bit_limit(1.0, 256) == 0
+
+
 def test_repeated_lines_do_not_make_near_copies(spark):
     """A line that outweighs the rest fixes a majority of bits, and how often it occurs changes no set."""
     draw = random.Random(6)
